@@ -70,7 +70,7 @@ def main() -> int:
             else:
                 problem = "" if function(spark, sf_dir).count() else "empty result"
         except Exception as error:  # a broken query is a finding, the others still run
-            problem = f"{type(error).__name__}: {str(error)[:1500]}"
+            problem = f"{type(error).__name__}: {str(error)[:400]}"
         bad += bool(problem)
         print(f"{'FAIL' if problem else 'ok  '} {name} {time.time() - start:.1f}s {problem}", flush=True)
     print(f"{bad} problems")

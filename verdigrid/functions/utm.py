@@ -103,8 +103,13 @@ def add_converted(
     if src == dst:
         return df.withColumns({names[0]: x, names[1]: y})
     if src == GEOGRAPHIC:
-        return add_utm(df, x, y, zone_of(dst), names)
-    if dst == GEOGRAPHIC:
-        return add_lonlat(df, x, y, zone_of(src), names)
-    out = add_lonlat(df, x, y, zone_of(src), ("_lon", "_lat"))
-    return add_utm(out, F.col("_lon"), F.col("_lat"), zone_of(dst), names).drop("_lon", "_lat")
+        out = add_utm(df, x, y, zone_of(dst), ("_tx", "_ty"))
+    elif dst == GEOGRAPHIC:
+        out = add_lonlat(df, x, y, zone_of(src), ("_tx", "_ty"))
+    else:
+        out = add_lonlat(df, x, y, zone_of(src), ("_lon", "_lat"))
+        out = add_utm(out, F.col("_lon"), F.col("_lat"), zone_of(dst), ("_tx", "_ty"))
+    # A later filter on the result must not be pushed below the staged terms, which would repeat the
+    # whole series inside the predicate; a one-element generator keeps it above.
+    pair = F.struct(F.col("_tx").alias(names[0]), F.col("_ty").alias(names[1]))
+    return out.select(*df.columns, F.inline(F.array(pair)))

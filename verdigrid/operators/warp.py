@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -37,35 +38,35 @@ def reproject_nearest(
 ) -> tuple[DataFrame, GridMeta]:
     """Every band onto the target grid, nearest neighbour, in one pass over the source.
 
-    A source cell projects its corners into the target CRS, takes the target cells whose centre may
-    fall in it, and keeps those whose centre projects back into it. Each target cell has one such
-    source cell, so no join and no shuffle is needed. Target cells off the source grid come from the
-    target grid alone and hold ``fill`` (null by default).
+    A source cell projects its centre into the target CRS, takes the target cells whose centre may fall
+    in it however the cell is turned there, and keeps those whose centre projects back into it. Each
+    target cell has one such source cell, so no join and no shuffle is needed. Target cells off the
+    source grid come from the target grid alone and hold ``fill`` (null by default).
     """
-    corners = df.select(*PIXEL_KEY, *bands)
-    for i, (a, b) in enumerate(((0, 0), (0, 1), (1, 0), (1, 1))):
-        corners = utm.add_converted(
-            corners,
-            F.lit(float(meta.x0)) + F.lit(float(meta.dx)) * (F.col("col_id") + F.lit(b)),
-            F.lit(float(meta.y0)) - F.lit(float(meta.dy)) * (F.col("row_id") + F.lit(a)),
-            meta.crs, target.crs, (f"_x{i}", f"_y{i}"),
-        )
-    xs, ys = [F.col(f"_x{i}") for i in range(4)], [F.col(f"_y{i}") for i in range(4)]
-    # a cell border is straight in its own CRS and bends by far less than this share of a cell
-    slack_x, slack_y = F.lit(target.dx * 0.01), F.lit(target.dy * 0.01)
-    ranges = {
-        "_c0": F.greatest(affine.col_of(target, F.least(*xs) - slack_x), F.lit(0)).cast("long"),
-        "_c1": F.least(affine.col_of(target, F.greatest(*xs) + slack_x), F.lit(target.width - 1)).cast("long"),
-        "_r0": F.greatest(affine.row_of(target, F.greatest(*ys) + slack_y), F.lit(0)).cast("long"),
-        "_r1": F.least(affine.row_of(target, F.least(*ys) - slack_y), F.lit(target.height - 1)).cast("long"),
-    }
+    cells = utm.add_converted(
+        pixel_centres(df.select(*PIXEL_KEY, *bands), meta, "_x", "_y"),
+        F.col("_x"), F.col("_y"), meta.crs, target.crs, ("_tx", "_ty"),
+    )
+    # half a diagonal, and five per cent for the difference in scale between the two projections
+    reach = F.lit(1.05 * math.hypot(meta.dx, meta.dy) / 2.0)
+    half = F.lit(0.5)
+    first_col = F.greatest(F.ceil((F.col("_tx") - reach - F.lit(target.x0)) / F.lit(target.dx) - half), F.lit(0))
+    last_col = F.least(
+        F.floor((F.col("_tx") + reach - F.lit(target.x0)) / F.lit(target.dx) - half), F.lit(target.width - 1)
+    )
+    first_row = F.greatest(F.ceil((F.lit(target.y0) - F.col("_ty") - reach) / F.lit(target.dy) - half), F.lit(0))
+    last_row = F.least(
+        F.floor((F.lit(target.y0) - F.col("_ty") + reach) / F.lit(target.dy) - half), F.lit(target.height - 1)
+    )
+
+    def span(first, last):
+        return F.when(first <= last, F.sequence(first.cast("int"), last.cast("int")))
+
     candidates = (
-        corners.withColumns(ranges)
-        .filter((F.col("_c0") <= F.col("_c1")) & (F.col("_r0") <= F.col("_r1")))
-        .withColumnsRenamed({"row_id": "_row", "col_id": "_col"})
-        .withColumn("row_id", F.explode(F.sequence("_r0", "_r1")))
-        .withColumn("col_id", F.explode(F.sequence("_c0", "_c1")))
-        .withColumns({k: F.col(k).cast("int") for k in PIXEL_KEY})
+        cells.withColumnsRenamed({"row_id": "_row", "col_id": "_col"})
+        .withColumn("row_id", F.explode(span(first_row, last_row)))
+        .withColumn("col_id", F.explode(span(first_col, last_col)))
+        .select("_row", "_col", *PIXEL_KEY, *bands)
     )
     back = _source_cell(candidates, target, meta)
     inside = back.filter(

@@ -15,26 +15,26 @@ from verdigrid.session import scratch_path
 from verdigrid.sources import features, pixels as sp, sql as ss
 
 FRACTIONS = ("fraction_built", "fraction_cropland", "fraction_grass", "fraction_water", "fraction_canopy")
-ALL_R6 = (
-    "round(dtm, 6) AS dtm, round(fraction_built, 6) AS fraction_built, round(fraction_cropland, 6) AS fraction_cropland, "
-    "round(fraction_grass, 6) AS fraction_grass, round(fraction_water, 6) AS fraction_water, round(lst, 6) AS lst, "
-    "round(fraction_canopy, 6) AS fraction_canopy"
+ALL_BANDS = (
+    "round(dtm, 7) AS dtm, round(fraction_built, 7) AS fraction_built, round(fraction_cropland, 7) AS fraction_cropland, "
+    "round(fraction_grass, 7) AS fraction_grass, round(fraction_water, 7) AS fraction_water, round(lst, 7) AS lst, "
+    "round(fraction_canopy, 7) AS fraction_canopy"
 )
 STACK = ob.STACK_BANDS
 
 
-@query("scan_pixels", "SELECT row_id, col_id, dtm, round(lst, 6) AS lst FROM pixels", ("pixels",))
+@query("scan_pixels", "SELECT row_id, col_id, dtm, round(lst, 7) AS lst FROM pixels", ("pixels",))
 def scan_pixels(spark, sf):
     path = scratch_path(spark, "scan-pixels")
     sp.write_pixels(views.pixels(spark, sf), views.pixel_meta(spark, sf), path)
-    return rounded(sp.scan_pixels(spark, f"{path}/pixels", ["dtm", "lst"]), 6, "lst")
+    return rounded(sp.scan_pixels(spark, f"{path}/pixels", ["dtm", "lst"]), 7, "lst")
 
 
-@query("write_pixels", f"SELECT row_id, col_id, {ALL_R6} FROM pixels", ("pixels",))
+@query("write_pixels", f"SELECT row_id, col_id, {ALL_BANDS} FROM pixels", ("pixels",))
 def write_pixels(spark, sf):
     path = scratch_path(spark, "write-pixels")
     sp.write_pixels(views.pixels(spark, sf), views.pixel_meta(spark, sf), path)
-    return rounded(sp.read_raster(spark, path)[0], 6, *STACK)
+    return rounded(sp.read_raster(spark, path)[0], 7, *STACK)
 
 
 @query(
@@ -60,7 +60,7 @@ def scan_features(spark, sf):
 
 @query(
     "write_features",
-    "SELECT x, y, row_id, col_id, dtm, round(lst, 6) AS lst FROM pixels WHERE dtm IS NOT NULL AND lst IS NOT NULL",
+    "SELECT x, y, row_id, col_id, dtm, round(lst, 7) AS lst FROM pixels WHERE dtm IS NOT NULL AND lst IS NOT NULL",
     ("pixels",),
 )
 def write_features(spark, sf):
@@ -68,7 +68,7 @@ def write_features(spark, sf):
     rows = ob.drop_missing(views.pixels(spark, sf, ("dtm", "lst")))
     features.write_features(rows, path)
     back = features.scan_points(spark, path, "row_id int, col_id int, dtm double, lst double")
-    return rounded(back, 6, "lst")
+    return rounded(back, 7, "lst")
 
 
 SQL_TEXT = (
@@ -95,7 +95,7 @@ def sql_table_sink(spark, sf):
 
 @query(
     "export_image",
-    "SELECT row_id, col_id - 30 AS col_id, dtm, round(lst, 6) AS lst FROM pixels "
+    "SELECT row_id, col_id - 30 AS col_id, dtm, round(lst, 7) AS lst FROM pixels "
     "WHERE row_id < 6 AND col_id BETWEEN 30 AND 60",
     ("pixels",),
 )
@@ -104,23 +104,23 @@ def export_image(spark, sf):
     region = og.bounds_of(og.layer_bounds(views.district_edges(spark).filter("district_id = 3")))
     meta = views.pixel_meta(spark, sf, ("dtm", "lst"))
     sp.export_image(views.pixels(spark, sf, ("dtm", "lst")).drop("x", "y"), meta, region, path)
-    return rounded(sp.read_raster(spark, path)[0], 6, "lst")
+    return rounded(sp.read_raster(spark, path)[0], 7, "lst")
 
 
-@query("select_bands", "SELECT row_id, col_id, round(lst, 6) AS lst, dtm FROM pixels", ("pixels",))
+@query("select_bands", "SELECT row_id, col_id, round(lst, 7) AS lst, dtm FROM pixels", ("pixels",))
 def select_bands(spark, sf):
-    return rounded(ob.select_bands(views.pixels(spark, sf, ("dtm", "lst")), ["lst", "dtm"]), 6, "lst")
+    return rounded(ob.select_bands(views.pixels(spark, sf, ("dtm", "lst")), ["lst", "dtm"]), 7, "lst")
 
 
 @query(
     "rename_bands",
-    "SELECT row_id, col_id, dtm AS elevation, round(lst, 6) AS surface_temperature FROM pixels",
+    "SELECT row_id, col_id, dtm AS elevation, round(lst, 7) AS surface_temperature FROM pixels",
     ("pixels",),
 )
 def rename_bands(spark, sf):
     df = views.pixels(spark, sf, ("dtm", "lst")).drop("x", "y")
     named = ob.rename_bands(ob.rename_all_bands(df, ["b1", "b2"]), {"b1": "elevation", "b2": "surface_temperature"})
-    return rounded(named, 6, "surface_temperature")
+    return rounded(named, 7, "surface_temperature")
 
 
 @query(
@@ -193,18 +193,18 @@ def add_bands(spark, sf):
     return ob.add_bands(views.landcover(spark, sf), {"trees": trees, "shifted": F.col("class") + 1})
 
 
-@query("valid_pixels", "SELECT row_id, col_id, dtm, round(lst, 6) AS lst FROM pixels WHERE dtm IS NOT NULL", ("pixels",))
+@query("valid_pixels", "SELECT row_id, col_id, dtm, round(lst, 7) AS lst FROM pixels WHERE dtm IS NOT NULL", ("pixels",))
 def valid_pixels(spark, sf):
-    return rounded(ob.valid_pixels(views.pixels(spark, sf, ("dtm", "lst")).drop("x", "y")), 6, "lst")
+    return rounded(ob.valid_pixels(views.pixels(spark, sf, ("dtm", "lst")).drop("x", "y")), 7, "lst")
 
 
 @query(
     "drop_missing",
-    "SELECT row_id, col_id, dtm, round(lst, 6) AS lst FROM pixels WHERE dtm IS NOT NULL AND lst IS NOT NULL",
+    "SELECT row_id, col_id, dtm, round(lst, 7) AS lst FROM pixels WHERE dtm IS NOT NULL AND lst IS NOT NULL",
     ("pixels",),
 )
 def drop_missing(spark, sf):
-    return rounded(ob.drop_missing(views.pixels(spark, sf, ("dtm", "lst")).drop("x", "y")), 6, "lst")
+    return rounded(ob.drop_missing(views.pixels(spark, sf, ("dtm", "lst")).drop("x", "y")), 7, "lst")
 
 
 @query(

@@ -19,7 +19,7 @@ FEATURES, TARGET = rg.FEATURES, rg.TARGET
 COMPLETE = " AND ".join(f"{b} IS NOT NULL" for b in ob.STACK_BANDS)
 # Coefficients given on both sides, where a query is about the table and not about the fit.
 GIVEN = rg.OlsModel(
-    299.5,
+    299.5123456789,
     dict(zip(FEATURES, (-0.004, 0.75, -0.5, 4.25, 0.125, -7.5))),
 )
 GIVEN_SQL = " + ".join([f"{GIVEN.intercept!r}E0", *(f"{v!r}E0 * {n}" for n, v in GIVEN.coefficients.items())])

@@ -33,25 +33,25 @@ PIX = ("pixels", "district_edges")
     "mask_by_polygons",
     f"""WITH {MEMBERS}
 SELECT p.row_id, p.col_id, CASE WHEN m.row_id IS NOT NULL THEN dtm END AS dtm,
-       CASE WHEN m.row_id IS NOT NULL THEN round(lst, 6) END AS lst
+       CASE WHEN m.row_id IS NOT NULL THEN round(lst, 7) END AS lst
 FROM pixels p LEFT JOIN (SELECT DISTINCT row_id, col_id FROM members) m USING (row_id, col_id)""",
     PIX,
 )
 def mask_by_polygons(spark, sf):
     df = views.pixels(spark, sf, ("dtm", "lst"))
     masked = osp.mask_by_polygons(df, views.district_edges(spark), ["dtm", "lst"])
-    return rounded(masked.drop("x", "y"), 6, "lst")
+    return rounded(masked.drop("x", "y"), 7, "lst")
 
 
 @query(
     "crop_to_extent",
-    "SELECT row_id, col_id - 30 AS col_id, x, y, round(lst, 6) AS lst FROM pixels WHERE row_id < 6 AND col_id BETWEEN 30 AND 60",
+    "SELECT row_id, col_id - 30 AS col_id, x, y, round(lst, 7) AS lst FROM pixels WHERE row_id < 6 AND col_id BETWEEN 30 AND 60",
     ("pixels",),
 )
 def crop_to_extent(spark, sf):
     bounds = og.bounds_of(og.layer_bounds(views.district_edges(spark).filter("district_id = 3")))
     window, _ = og.crop_to_extent(views.pixels(spark, sf, ("lst",)), views.pixel_meta(spark, sf), bounds)
-    return rounded(window, 6, "lst")
+    return rounded(window, 7, "lst")
 
 
 @query(
@@ -72,13 +72,13 @@ def masked_read(spark, sf):
 
 @query(
     "clip_points",
-    f"WITH {MEMBERS} SELECT row_id, col_id, dtm, round(lst, 6) AS lst FROM pixels SEMI JOIN members USING (row_id, col_id)",
+    f"WITH {MEMBERS} SELECT row_id, col_id, dtm, round(lst, 7) AS lst FROM pixels SEMI JOIN members USING (row_id, col_id)",
     PIX,
 )
 def clip_points(spark, sf):
     df = views.pixels(spark, sf, ("dtm", "lst"))
     clipped = osp.clip_points(df, views.district_edges(spark), crs=views.CRS, edges_crs=views.CRS)
-    return rounded(clipped.drop("x", "y"), 6, "lst")
+    return rounded(clipped.drop("x", "y"), 7, "lst")
 
 
 CROWN_MEMBERS = """
@@ -224,7 +224,7 @@ cells AS (SELECT CAST(i AS INT) AS row_id, CAST(j AS INT) AS col_id, l * {TARGET
           FROM target, unnest(generate_series(0, CAST(t - b AS BIGINT) - 1)) AS a(i), unnest(generate_series(0, CAST(r - l AS BIGINT) - 1)) AS c(j)),
 {sql_lonlat('cells', 'row_id, col_id', 'cx', 'cy', 33, 'cell_geo')},
 {sql_utm('cell_geo', 'row_id, col_id', 'lon', 'lat', 32, 'cell_east', 'sx', 'sy')}
-SELECT c.row_id, c.col_id, p.dtm, round(p.lst, 6) AS lst
+SELECT c.row_id, c.col_id, p.dtm, round(p.lst, 7) AS lst
 FROM cell_east c LEFT JOIN pixels p
   ON p.row_id = floor((6450000E0 - c.sy) / 100E0) AND p.col_id = floor((c.sx - 440000E0) / 100E0)""",
     ("pixels",),
@@ -233,7 +233,7 @@ def reproject_nearest(spark, sf):
     meta = views.pixel_meta(spark, sf, ("dtm", "lst"))
     target = og.target_grid(spark, meta, "EPSG:25833", float(TARGET_CELL))
     out, _ = ow.reproject_nearest(views.pixels(spark, sf, ("dtm", "lst")), meta, target, ["dtm", "lst"])
-    return rounded(out, 6, "lst")
+    return rounded(out, 7, "lst")
 
 
 # ---------------------------------------------------------------- resampling and zones
@@ -306,14 +306,14 @@ def zonal_sum(spark, sf):
 @query(
     "zonal_stats",
     """SELECT CAST(floor((6450000E0 - y) / 500E0) AS BIGINT) AS zone_row, CAST(floor((x - 440000E0) / 500E0) AS BIGINT) AS zone_col,
-       round(avg(lst), 6) AS mean_lst, round(min(lst), 6) AS min_lst, round(max(lst), 6) AS max_lst, count(lst) AS count_lst
+       round(avg(lst), 6) AS mean_lst, round(min(lst), 7) AS min_lst, round(max(lst), 7) AS max_lst, count(lst) AS count_lst
 FROM pixels GROUP BY 1, 2""",
     ("pixels",),
 )
 def zonal_stats(spark, sf):
     zones = GridMeta(views.CRS, *views.ORIGIN, 500.0, 500.0, 20, 0)
     out = orr.zonal_stats(views.pixels(spark, sf, ("lst",)), zones, "lst", ("mean", "min", "max", "count"))
-    return rounded(out, 6, "mean_lst", "min_lst", "max_lst")
+    return rounded(rounded(out, 6, "mean_lst"), 7, "min_lst", "max_lst")
 
 
 @query(
@@ -458,16 +458,16 @@ def expand_zone(spark, sf):
 c AS (SELECT row_id, col_id, fraction_built, fraction_cropland, fraction_grass, fraction_water FROM pixels),
 s AS (SELECT row_id, col_id, lst FROM pixels WHERE row_id % 2 = 0),
 k AS (SELECT row_id, col_id, fraction_canopy FROM pixels WHERE col_id % 3 > 0)
-SELECT row_id, col_id, dtm, round(fraction_built, 6) AS fraction_built, round(fraction_cropland, 6) AS fraction_cropland,
-       round(fraction_grass, 6) AS fraction_grass, round(fraction_water, 6) AS fraction_water, round(lst, 6) AS lst,
-       round(fraction_canopy, 6) AS fraction_canopy
+SELECT row_id, col_id, dtm, round(fraction_built, 7) AS fraction_built, round(fraction_cropland, 7) AS fraction_cropland,
+       round(fraction_grass, 7) AS fraction_grass, round(fraction_water, 7) AS fraction_water, round(lst, 7) AS lst,
+       round(fraction_canopy, 7) AS fraction_canopy
 FROM t FULL JOIN c USING (row_id, col_id) FULL JOIN s USING (row_id, col_id) FULL JOIN k USING (row_id, col_id)""",
     ("pixels",),
 )
 def stack_bands(spark, sf):
     """Four rasters of 1 + 4 + 1 + 1 bands; two of them lack pixels."""
     stacked, _ = ost.stack_bands(_rasters(spark, sf))
-    return rounded(stacked, 6, *(b for b in ob.STACK_BANDS if b != "dtm"))
+    return rounded(stacked, 7, *(b for b in ob.STACK_BANDS if b != "dtm"))
 
 
 def _rasters(spark, sf):
@@ -484,16 +484,16 @@ def _rasters(spark, sf):
 @query(
     "pixel_table",
     f"""WITH {MEMBERS}
-SELECT row_id, col_id, x, y, dtm, round(fraction_built, 6) AS fraction_built, round(fraction_cropland, 6) AS fraction_cropland,
-       round(fraction_grass, 6) AS fraction_grass, round(fraction_water, 6) AS fraction_water, round(lst, 6) AS lst,
-       round(fraction_canopy, 6) AS fraction_canopy
+SELECT row_id, col_id, x, y, dtm, round(fraction_built, 7) AS fraction_built, round(fraction_cropland, 7) AS fraction_cropland,
+       round(fraction_grass, 7) AS fraction_grass, round(fraction_water, 7) AS fraction_water, round(lst, 7) AS lst,
+       round(fraction_canopy, 7) AS fraction_canopy
 FROM pixels SEMI JOIN members USING (row_id, col_id) WHERE dtm IS NOT NULL""",
     PIX,
 )
 def pixel_table(spark, sf):
     stack = ob.select_bands(views.pixels(spark, sf), ob.STACK_BANDS)
     out = workflows.pixel_table(stack, views.pixel_meta(spark, sf), views.district_edges(spark), views.CRS)
-    return rounded(out, 6, *(b for b in ob.STACK_BANDS if b != "dtm"))
+    return rounded(out, 7, *(b for b in ob.STACK_BANDS if b != "dtm"))
 
 
 @query(
