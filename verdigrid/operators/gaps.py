@@ -39,20 +39,16 @@ def interpolate_linear(
     cells = cells.withColumns({b: F.nanvl(b, F.lit(None).cast("double")) for b in bands})
     inner = Window.partitionBy("_line", "_b").orderBy("_n")
     back = inner.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = inner.rowsBetween(0, Window.unboundedFollowing)
+    # a growing frame in reverse order: a frame that ends at the partition's end costs rows squared
+    ahead = Window.partitionBy("_line", "_b").orderBy(F.desc("_n")).rowsBetween(Window.unboundedPreceding, 0)
     placed = cells.withColumn("_i", F.row_number().over(inner).cast("long"))
-    for b in bands:
-        point = F.when(F.col(b).isNotNull(), F.struct(F.col("_i").alias("i"), F.col(b).alias("v")))
-        placed = placed.withColumns(
-            {
-                f"_prev_{b}": F.last(point, ignorenulls=True).over(back),
-                f"_next_{b}": F.first(point, ignorenulls=True).over(ahead),
-            }
-        )
 
     def at(b: str) -> Column:
         return F.when(F.col(b).isNotNull(), F.struct(F.col("_i").alias("i"), F.col(b).alias("v")))
 
+    placed = placed.withColumns({f"_prev_{b}": F.last(at(b), ignorenulls=True).over(back) for b in bands})
+    placed = placed.withColumns({f"_next_{b}": F.last(at(b), ignorenulls=True).over(ahead) for b in bands})
+
     summary = (
         cells.select("_line", "_b", "_n", *bands)
         .withColumn("_i", F.row_number().over(inner).cast("long"))
@@ -106,15 +102,14 @@ def _carry(summary: DataFrame, bands: Sequence[str], block: int) -> DataFrame:
     Two levels of the same running window: over the groups of blocks, then inside each group.
     """
     grouped = summary.withColumn("_g", F.floor(F.col("_b") / F.lit(block)).cast("long"))
-    within = Window.partitionBy("_line", "_g").orderBy("_b")
-    local = _running(grouped, bands, within, "_rows")
+    local = _running(grouped, bands, ("_line", "_g"), "_b")
     groups = local.groupBy("_line", "_g").agg(
         F.sum("_rows").alias("_rows"),
         *[F.min(_shift(f"_first_{b}", "_offset")).alias(f"_first_{b}") for b in bands],
         *[F.max(_shift(f"_last_{b}", "_offset")).alias(f"_last_{b}") for b in bands],
     )
     # the groups of one line: one row per block ** 2 pixels
-    outer = _running(groups, bands, Window.partitionBy("_line").orderBy("_g"), "_rows").select(
+    outer = _running(groups, bands, ("_line",), "_g").select(
         "_line", "_g", F.col("_offset").alias("_g_offset"),
         *[F.col(f"_before_{b}").alias(f"_g_before_{b}") for b in bands],
         *[F.col(f"_after_{b}").alias(f"_g_after_{b}") for b in bands],
@@ -134,13 +129,13 @@ def _shift(point: str, offset: str) -> Column:
     )
 
 
-def _running(df: DataFrame, bands: Sequence[str], order, rows: str) -> DataFrame:
+def _running(df: DataFrame, bands: Sequence[str], within: Sequence[str], order: str) -> DataFrame:
     """Running offset, and for each band the nearest valid point before and after the row."""
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    after = order.rowsBetween(1, Window.unboundedFollowing)
-    out = df.withColumn("_offset", F.coalesce(F.sum(rows).over(before), F.lit(0)))
-    placed = {}
-    for b in bands:
-        placed[f"_before_{b}"] = F.last(_shift(f"_last_{b}", "_offset"), ignorenulls=True).over(before)
-        placed[f"_after_{b}"] = F.first(_shift(f"_first_{b}", "_offset"), ignorenulls=True).over(after)
-    return out.withColumns(placed)
+    before = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(*within).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, -1)
+    out = df.withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    for side, frame, point in (("before", before, "last"), ("after", after, "first")):
+        out = out.withColumns({
+            f"_{side}_{b}": F.last(_shift(f"_{point}_{b}", "_offset"), ignorenulls=True).over(frame) for b in bands
+        })
+    return out

@@ -64,25 +64,32 @@ TERMS_SQL = " UNION ALL ".join(
 )
 
 
-def _filled(source: str, band: str) -> str:
-    """CTEs ``filled``: linear interpolation of one band by row position."""
+def _filled(source: str, *bands: str) -> str:
+    """CTEs ``filled``: linear interpolation of the bands by row position."""
+    marks = ", ".join(
+        f"""last_value(CASE WHEN {b} IS NOT NULL THEN pos END IGNORE NULLS) OVER back AS pp_{b},
+   last_value({b} IGNORE NULLS) OVER back AS pv_{b},
+   first_value(CASE WHEN {b} IS NOT NULL THEN pos END IGNORE NULLS) OVER ahead AS np_{b},
+   first_value({b} IGNORE NULLS) OVER ahead AS nv_{b}"""
+        for b in bands
+    )
+    values = ", ".join(
+        f"""CASE WHEN {b} IS NOT NULL THEN {b} WHEN pv_{b} IS NULL THEN NULL WHEN nv_{b} IS NULL THEN pv_{b}
+   ELSE pv_{b} + (nv_{b} - pv_{b}) * (pos - pp_{b}) / (np_{b} - pp_{b}) END AS {b}"""
+        for b in bands
+    )
     return f"""
 placed AS (SELECT *, row_number() OVER (ORDER BY row_id, col_id) AS pos FROM {source}),
-marked AS (SELECT *,
-   last_value(CASE WHEN {band} IS NOT NULL THEN pos END IGNORE NULLS) OVER back AS pp,
-   last_value({band} IGNORE NULLS) OVER back AS pv,
-   first_value(CASE WHEN {band} IS NOT NULL THEN pos END IGNORE NULLS) OVER ahead AS np,
-   first_value({band} IGNORE NULLS) OVER ahead AS nv
+marked AS (SELECT *, {marks}
  FROM placed
  WINDOW back AS (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
         ahead AS (ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
-filled AS (SELECT * REPLACE (CASE WHEN {band} IS NOT NULL THEN {band} WHEN pv IS NULL THEN NULL WHEN nv IS NULL THEN pv
-   ELSE pv + (nv - pv) * (pos - pp) / (np - pp) END AS {band}) FROM marked)"""
+filled AS (SELECT * REPLACE ({values}) FROM marked)"""
 
 
 @query(
     "interpolate_linear",
-    f"WITH measured AS (SELECT * FROM pixels WHERE lst IS NOT NULL), {_filled('measured', 'dtm')} "
+    f"WITH measured AS (SELECT * FROM pixels WHERE lst IS NOT NULL), {_filled('measured', 'dtm', 'fraction_built')} "
     "SELECT row_id, col_id, round(dtm, 6) AS dtm, round(fraction_built, 6) AS fraction_built FROM filled",
     ("pixels",),
 )
@@ -214,7 +221,7 @@ def compare_models(spark, sf):
 
 
 def _scenario(source: str) -> str:
-    return f"{_filled(source, 'dtm')}, scenario AS (SELECT * REPLACE (0E0 AS fraction_canopy) FROM filled)"
+    return f"{_filled(source, *gaps.GAP_BANDS)}, scenario AS (SELECT * REPLACE (0E0 AS fraction_canopy) FROM filled)"
 
 
 # after the gaps are filled only a leading gap is left; the target may be missing

@@ -251,7 +251,7 @@ parts AS (SELECT c.row_id, c.col_id, least(floor(pr) + a, h - 1) AS r, least(flo
           FROM cells c, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) AS o(a, b))
 SELECT n.row_id, n.col_id,
        CASE WHEN count(p.dtm) = count(*) THEN round(sum(weight * p.dtm), 6) END AS dtm,
-       round(sum(weight * p.fraction_canopy), 6) AS fraction_canopy
+       CASE WHEN count(p.fraction_canopy) = count(*) THEN round(sum(weight * p.fraction_canopy), 6) END AS fraction_canopy
 FROM (SELECT * FROM parts WHERE weight > 1E-9) n LEFT JOIN pixels p ON p.row_id = n.r AND p.col_id = n.k
 GROUP BY 1, 2""",
     ("pixels",),
