@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 GAP_BANDS = ("dtm", "fraction_grass", "fraction_cropland", "fraction_built", "fraction_water")
-BLOCK = 1 << 14
+BLOCK = 1 << 12  # a block fits the in-memory buffer of the window operator
 
 
 def interpolate_linear(

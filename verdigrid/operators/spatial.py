@@ -32,9 +32,9 @@ from verdigrid.operators.grid import bounds_of, crop_to_extent, layer_bounds
 from verdigrid.session import broadcast_within
 
 EDGE = ("x1", "y1", "x2", "y2")
-BROADCAST_EDGES = 20_000  # index rows stay within about 16 per edge, see ``index_size``
+BROADCAST_EDGES = 100_000  # about 16 index entries per edge at most, see ``index_size``: below 100 MB
 MAX_CELL_EDGES = 4_096
-SALTS = 16
+SALTS = 8
 
 
 def edges_of_polygons(features: DataFrame, rings: str = "rings") -> DataFrame:

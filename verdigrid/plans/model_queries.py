@@ -118,7 +118,7 @@ SELECT row_id, col_id, 'test' AS part FROM test_rows UNION ALL SELECT row_id, co
     ("pixels",),
 )
 def split_rows(spark, sf):
-    fit, test = rg.split_rows(views.pixels(spark, sf), 3)
+    fit, test = rg.split_rows(materialise(views.pixels(spark, sf), "split"), 3)
     label = lambda df, name: df.select("row_id", "col_id", F.lit(name).alias("part"))
     return label(test, "test").unionByName(label(fit, "fit"))
 
@@ -157,7 +157,7 @@ def fit_one_feature(spark, sf):
 @query("fit_ols", f"WITH {sql_split(3)}, {sql_ols('fit_rows', 'model')} {TERMS_SQL}", ("pixels",))
 def fit_ols(spark, sf):
     """Split and fit on all six features; the check solves the same equations in SQL."""
-    model, _ = rg.train(views.pixels(spark, sf), rg.SEEDS["active"])
+    model, _ = rg.train(materialise(views.pixels(spark, sf), "fit"), rg.SEEDS["active"])
     return rounded(model.to_df(spark), 6, "coefficient")
 
 
@@ -201,7 +201,7 @@ SELECT {R2_SQL} FROM (SELECT lst, {FITTED_SQL} AS p FROM test_rows, model)""",
     ("pixels",),
 )
 def evaluate(spark, sf):
-    model, test = rg.train(views.pixels(spark, sf), rg.SEEDS["active"])
+    model, test = rg.train(materialise(views.pixels(spark, sf), "evaluate"), rg.SEEDS["active"])
     return rounded(rg.evaluate(test, model), 6, "r2")
 
 
