@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from verdigrid.llm.common import in_arrow
+
 #: Words of at most so many parts keep their ranks in one array; longer ones use a heap. Same result.
 SHORT = 96
 #: Words that a worker remembers, and the length up to which it does.
@@ -182,7 +184,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", cou
             )
 
     schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.BinaryType()), T.StructField(count, T.LongType())])
-    return docs.mapInArrow(run, schema)
+    return in_arrow(docs, run, schema)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -197,7 +199,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", decoded: str = "deco
             texts = [model.decode(p.as_py() or b"") for p in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, decoded])
 
-    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField(decoded, T.StringType())]))
+    return in_arrow(encoded, run, T.StructType([*encoded.schema.fields, T.StructField(decoded, T.StringType())]))
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import hashlib
+import os
+import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,14 +38,41 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def solid_key(value: F.Column) -> F.Column:
+    """A text column as a join key that is never null."""
+    return F.concat(F.when(value.isNull(), F.lit("0")).otherwise(F.lit("1")), F.coalesce(value.cast("string"), F.lit("")))
+
+
 def uniform(*parts) -> F.Column:
     """A number in [0, 1) that depends on ``parts`` only; the same in any engine that has MD5."""
     digest = F.md5(F.concat_ws("|", *parts))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(float(16**13))
 
 
-def sha256_hex(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the executors, once for each application, so that their Python workers can import it."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(), "verdigrid-package.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
+def in_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` by a function of this package."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

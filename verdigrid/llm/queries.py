@@ -12,6 +12,7 @@ from verdigrid.llm import bpe
 from verdigrid.llm.common import table
 from verdigrid.llm.exact_dedup import exact_dedup
 from verdigrid.llm.mixing import mix_plan
+from verdigrid.llm.quality import judge
 from verdigrid.llm.simhash import near_dedup
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -84,3 +85,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select(
         "row.doc_id", "size", "source_size", F.round("target", 3).alias("target"), (F.col("size") * F.col("copies")).alias("taken")
     )
+
+
+@query("op9_quality_rules")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return judged.select(
+        F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", F.round("mean_loss", 6).alias("mean_loss"),
+    )

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from verdigrid.llm.common import components, stored
+from verdigrid.llm.common import components, in_arrow, stored
 
 SHINGLE = 3
 RADIUS = 2
@@ -59,7 +59,7 @@ def fingerprints(docs: DataFrame, text: str = "text", fp: str = "fp", shingle: i
             )
 
     fields = [f for f in docs.schema.fields if f.name != text]
-    return docs.mapInArrow(run, T.StructType([*fields, T.StructField(fp, T.LongType())]))
+    return in_arrow(docs, run, T.StructType([*fields, T.StructField(fp, T.LongType())]))
 
 
 class _Planes:
@@ -209,10 +209,8 @@ def links(prints: DataFrame, radius: int = RADIUS, parts: int = PARTS, bucket: i
         if held is not None and len(held[0]):
             yield emit(*held)
 
-    return (
-        dealt.repartition("band", "bits").sortWithinPartitions("band", "bits").select("band", "bits", "fp")
-        .mapInArrow(run, "a long, b long")
-    )
+    sorted_buckets = dealt.repartition("band", "bits").sortWithinPartitions("band", "bits").select("band", "bits", "fp")
+    return in_arrow(sorted_buckets, run, "a long, b long")
 
 
 def near_dedup(
