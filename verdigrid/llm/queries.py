@@ -13,6 +13,7 @@ from verdigrid.llm.common import table
 from verdigrid.llm.exact_dedup import exact_dedup
 from verdigrid.llm.mixing import mix_plan
 from verdigrid.llm.quality import judge
+from verdigrid.llm.repeats import remove_repeats
 from verdigrid.llm.simhash import near_dedup
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -94,3 +95,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", F.round("mean_loss", 6).alias("mean_loss"),
     )
+
+
+@query("op10_suffix_array_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
