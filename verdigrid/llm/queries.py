@@ -9,12 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdigrid.llm import bpe
+from verdigrid.llm.classifier import classify
 from verdigrid.llm.common import table
 from verdigrid.llm.exact_dedup import exact_dedup
+from verdigrid.llm.licenses import scan_licenses
 from verdigrid.llm.mixing import mix_plan
+from verdigrid.llm.pii import replace_pii
 from verdigrid.llm.quality import judge
 from verdigrid.llm.repeats import remove_repeats
 from verdigrid.llm.simhash import near_dedup
+from verdigrid.llm.url_lists import filter_urls, host_of
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -101,3 +105,79 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return done.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def _hex_number(column, start: int) -> F.Column:
+    return F.conv(F.substring(F.md5(column), start, 6), 16, 10).cast("long")
+
+
+def list_entries(pages: DataFrame) -> DataFrame:
+    """Dated entries derived from the hosts of ``pages``: two in five registered domains are listed, half of these leave, some come back."""
+    domain = F.regexp_extract(host_of(F.col("url")), r"([^.]+\.[^.]+\.[^.]+)$", 1).alias("domain")
+    hosts = pages.select(domain).where("domain <> ''").distinct()
+    hosts = hosts.withColumn("u", _hex_number(F.col("domain"), 1)).withColumn("d", _hex_number(F.col("domain"), 7) % 180).where("u % 5 < 2")
+    day = lambda n: F.timestamp_add("DAY", n.cast("int"), F.lit("2024-01-01").cast("timestamp"))
+    category = F.when(F.col("u") % 3 == 0, "adult").when(F.col("u") % 3 == 1, "malware").otherwise("spam")
+    steps = F.array(
+        F.struct(day(F.col("d")).alias("at"), F.lit("add").alias("action")),
+        F.when(F.col("u") % 2 == 0, F.struct(day(F.col("d") + 60).alias("at"), F.lit("remove").alias("action"))),
+        F.when(F.col("u") % 4 == 0, F.struct(day(F.col("d") + 120).alias("at"), F.lit("add").alias("action"))),
+    )
+    return hosts.select("domain", category.alias("category"), F.explode(steps).alias("e")).where("e IS NOT NULL").select("domain", "e.at", "e.action", "category")
+
+
+@query(
+    "op3_url_lists",
+    r"""
+    WITH h AS (SELECT page_id, rtrim(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '.') AS host,
+                      TIMESTAMP '2024-01-01' + to_days(CAST(page_id * 7 % 365 AS INT)) AS fetched FROM pages),
+    d AS (SELECT DISTINCT regexp_extract(host, '([^.]+\.[^.]+\.[^.]+)$', 1) AS domain FROM h),
+    n AS (SELECT domain, CAST('0x' || substr(md5(domain), 1, 6) AS BIGINT) AS u, CAST('0x' || substr(md5(domain), 7, 6) AS BIGINT) % 180 AS d
+          FROM d WHERE domain <> ''),
+    l AS (SELECT *, CASE u % 3 WHEN 0 THEN 'adult' WHEN 1 THEN 'malware' ELSE 'spam' END AS category FROM n WHERE u % 5 < 2),
+    v AS (SELECT domain, category, d AS since, CASE WHEN u % 2 = 0 THEN d + 60 ELSE 100000 END AS until FROM l
+          UNION ALL SELECT domain, category, d + 120, 100000 FROM l WHERE u % 4 = 0),
+    b AS (SELECT page_id, host, v.domain, category, since, row_number() OVER (PARTITION BY page_id ORDER BY length(v.domain) DESC) AS k
+          FROM h JOIN v ON (host = v.domain OR host LIKE '%.' || v.domain)
+            AND fetched >= TIMESTAMP '2024-01-01' + to_days(CAST(since AS INT)) AND fetched < TIMESTAMP '2024-01-01' + to_days(CAST(until AS INT)))
+    SELECT h.page_id, nullif(h.host, '') AS host, b.domain AS matched, CAST(date_diff('day', DATE '2024-01-01', CAST(TIMESTAMP '2024-01-01' + to_days(CAST(since AS INT)) AS DATE)) AS INT) AS listed_day,
+           category, b.domain IS NULL AS kept
+    FROM h LEFT JOIN b ON h.page_id = b.page_id AND k = 1
+    """,
+)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    at = F.timestamp_add("DAY", (F.col("page_id") * 7 % 365).cast("int"), F.lit("2024-01-01").cast("timestamp"))
+    done = filter_urls(pages.withColumn("fetched_at", at), list_entries(pages))
+    day = F.datediff(F.col("listed_since").cast("date"), F.lit("2024-01-01").cast("date"))
+    return done.select("row.page_id", "host", "matched", day.alias("listed_day"), "category", "kept")
+
+
+def placed(docs: DataFrame) -> DataFrame:
+    """Documents as files: a folder per source with up to three levels below it; every 40th document is a licence file."""
+    level = lambda n: F.concat(F.lit("/"), F.lit("abc"[n]), (F.col("doc_id") % (n + 3)).cast("string"))
+    folder = F.concat(F.coalesce("source", F.lit("none")), F.when(F.col("doc_id") % 40 == 0, "").otherwise(level(0)), F.when(F.col("doc_id") % 3 > 0, level(1)).otherwise(""), F.when(F.col("doc_id") % 7 > 3, level(2)).otherwise(""))
+    name = F.when(F.col("doc_id") % 40 == 0, F.lit("LICENSE")).otherwise(F.concat(F.lit("text"), F.col("doc_id").cast("string")))
+    return docs.withColumn("path", F.concat(folder, F.lit("/"), name))
+
+
+@query("op4_license_scan")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = scan_licenses(placed(table(spark, sf_dir, "documents").select("doc_id", "source", "text")))
+    return done.select("row.doc_id", "row.path", "own_license", F.round("similarity", 6).alias("similarity"), "license", "inherited_from")
+
+
+@query("op7_quality_classifier")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").where("quality = 1")
+    done = classify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), trusted)
+    return done.select(F.col("id").alias("doc_id"), "lang", F.round("mean_loss", 6).alias("mean_loss"), F.exp("mean_loss").alias("perplexity"), "threshold", "kept")
+
+
+#: Key of the surrogates; give your own in production.
+SURROGATE_KEY = "verdigrid-example-key"
+
+
+@query("op8_pii_surrogates")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_pii(table(spark, sf_dir, "documents").select("doc_id", "text"), SURROGATE_KEY)
