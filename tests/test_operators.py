@@ -12,7 +12,8 @@ from tests.conftest import plan_of
 from verdigrid.functions import utm
 from verdigrid.meta import GridMeta
 from verdigrid.operators import bands as ob
-from verdigrid.operators import gaps, grid, landcover, regression, resample, scenes, series, stack, warp
+from verdigrid.operators import gaps, grid, landcover, regression, resample, scenes, series, spatial, stack, warp
+from verdigrid.session import within
 from verdigrid.sources import features, models, observations, pixels, sql
 
 KEY = "row_id int, col_id int"
@@ -134,7 +135,9 @@ def test_reproject_to_same_grid_is_identity_without_shuffle(spark):
     values = [[float(4 * r + c) for c in range(4)] for r in range(3)]
     out, _ = warp.reproject_nearest(raster(spark, values), meta(3, 4), meta(3, 4), ["v"])
     assert as_array(out) == values
-    assert "Exchange" not in plan_of(out)
+    moved, _ = warp.reproject_nearest(raster(spark, values), meta(3, 4), meta(3, 4), ["v"], keep_outside=False)
+    assert as_array(moved) == values
+    assert "Exchange" not in plan_of(moved)
 
 
 def test_reproject_covers_target_once(spark):
@@ -147,6 +150,91 @@ def test_reproject_covers_target_once(spark):
     assert {r["v"] for r in out.collect()} >= {v for line in values for v in line}
 
 
+@pytest.mark.parametrize(
+    ("source", "crs", "cell"),
+    [
+        (meta(12, 10), "EPSG:25833", 70.0),
+        (GridMeta("EPSG:4258", 8.5, 60.2, 0.02, 0.01, 12, 9), "EPSG:25832", 400.0),
+        (meta(12, 10), "EPSG:4258", 0.0007),
+    ],
+)
+def test_reprojection_of_sparse_rasters_and_degrees(spark, source, crs, cell):
+    """Every target cell comes out; its value is that of the source cell under its centre, if there is a row."""
+    target = grid.target_grid(spark, source, crs, cell)
+    rows = [(r, c, float(100 * r + c)) for r in range(source.height) for c in range(source.width) if (r * 7 + c) % 5]
+    df = spark.createDataFrame(rows, "row_id int, col_id int, v double")
+    out, _ = warp.reproject_nearest(df, source, target, ["v"], fill=-1.0)
+    got = {(r["row_id"], r["col_id"]): r["v"] for r in out.collect()}
+    assert len(got) == out.count() == target.width * target.height
+    centres = spark.createDataFrame(
+        [(i, j, target.x0 + target.dx * (j + 0.5), target.y0 - target.dy * (i + 0.5)) for i in range(target.height) for j in range(target.width)],
+        "i int, j int, cx double, cy double",
+    )
+    values = {(r, c): v for r, c, v in rows}
+    for p in utm.add_converted(centres, F.col("cx"), F.col("cy"), crs, source.crs, ("sx", "sy")).collect():
+        at = (math.floor((source.y0 - p["sy"]) / source.dy), math.floor((p["sx"] - source.x0) / source.dx))
+        assert got[p["i"], p["j"]] == values.get(at, -1.0)
+    assert sum(v >= 0 for v in got.values()) > 0
+
+
+def test_malformed_times_raise_unless_asked(spark):
+    df = spark.createDataFrame([("2020-07-01T00:00:00Z",), ("soon",), (None,)], "reference_time string")
+    with pytest.raises(Exception, match="holds no time"):
+        series.parse_time(df).collect()
+    assert [r[0] is None for r in series.parse_time(df, strict=False).collect()] == [False, True, True]
+
+
+def test_period_is_pushed_to_the_scan(spark, tmp_path):
+    spark.sql("SELECT TIMESTAMP '2012-12-31 23:59:59' AS reference_time, 1.0D AS value UNION ALL SELECT TIMESTAMP '2013-01-01', 2.0D").write.parquet(f"{tmp_path}/s")
+    found = series.observation_period(spark.read.parquet(f"{tmp_path}/s"))
+    assert [r["value"] for r in found.collect()] == [2.0]
+    assert "GreaterThanOrEqual(reference_time" in plan_of(found)
+
+
+def test_crop_without_overlap_raises(spark):
+    with pytest.raises(ValueError, match="do not meet"):
+        grid.crop_to_extent(raster(spark, [[1.0]]), meta(1, 1), (0.0, 0.0, 1.0, 1.0))
+
+
+def test_canopy_covers_the_whole_grid(spark):
+    fine = GridMeta("EPSG:25832", 0.0, 40.0, 1.0, 1.0, 40, 40)
+    crown = [(1, 1.0, 31.0, 5.0, 31.0), (1, 5.0, 31.0, 5.0, 39.0), (1, 5.0, 39.0, 1.0, 39.0), (1, 1.0, 39.0, 1.0, 31.0)]
+    edges = spark.createDataFrame(crown, "crown_id int, x1 double, y1 double, x2 double, y2 double")
+    got = {(r["row_id"], r["col_id"]): r["fraction_canopy"] for r in landcover.canopy_fraction(edges, fine, 10).collect()}
+    assert len(got) == 16 and got[0, 0] == 0.32 and sum(got.values()) == 0.32
+
+
+def test_features_copies_count_once_and_bad_lines_raise(spark, tmp_path):
+    square = '{"type":"Feature","properties":{},"geometry":{"type":"Polygon","coordinates":[[[0,0],[4,0],[4,4],[0,4],[0,0]]]}}'
+    (tmp_path / "good.jsonl").write_text(f"{square}\n{square}\n")
+    edges = features.scan_edges(spark, f"{tmp_path}/good.jsonl", line_delimited=True)
+    points = spark.createDataFrame([(0, 0, 1.5, 1.5), (0, 1, 9.0, 9.0)], "row_id int, col_id int, x double, y double")
+    assert spatial.spatial_semi_join(points, edges, ("feature_id",)).count() == 1
+    assert features.scan_features(spark, f"{tmp_path}/good.jsonl", line_delimited=True).count() == 2
+    (tmp_path / "bad.jsonl").write_text(f"{square}\n{square[:40]}\n" + '{"type":"Feature","properties":{},"geometry":{"type":"Point","coordinates":[1,2]}}\n')
+    with pytest.raises(Exception, match="no polygon feature"):
+        features.scan_features(spark, f"{tmp_path}/bad.jsonl", line_delimited=True).collect()
+    assert features.scan_features(spark, f"{tmp_path}/bad.jsonl", line_delimited=True, strict=False).where("reject IS NOT NULL").count() == 2
+
+
+def test_masked_load_of_a_stored_raster(spark, tmp_path):
+    values = [[float(10 * r + c) for c in range(8)] for r in range(8)]
+    whole = GridMeta("EPSG:25832", 0.0, 80.0, 10.0, 10.0, 8, 8, ("v",))
+    pixels.write_pixels(raster(spark, values), whole, f"{tmp_path}/r")
+    corners = [(21.0, 21.0), (39.0, 21.0), (39.0, 44.0), (21.0, 44.0)]
+    edges = spark.createDataFrame([(1, *a, *b) for a, b in zip(corners, corners[1:] + corners[:1])], "district_id int, x1 double, y1 double, x2 double, y2 double")
+    df, window = pixels.read_raster(spark, f"{tmp_path}/r", mask=edges, mask_crs="EPSG:25832")
+    assert plan_of(df).count("FileScan") == 1
+    got = {(r["row_id"], r["col_id"]): r["v"] for r in df.collect()}
+    assert (window.width, window.height, window.x0, window.y0) == (2, 3, 20.0, 50.0)
+    assert got == {(0, 0): None, (0, 1): None, (1, 0): 42.0, (1, 1): 43.0, (2, 0): 52.0, (2, 1): 53.0}
+
+
+def test_broadcast_is_bounded_by_bytes(spark):
+    df = spark.createDataFrame([("x" * 1000,)] * 20, "a string")
+    assert within(df, 20) and not within(df, 19) and not within(df, 20, size=10_000)
+
+
 def test_unknown_crs_raises():
     with pytest.raises(ValueError):
         utm.zone_of("EPSG:4326")

@@ -45,14 +45,20 @@ class GridMeta:
         )
 
     def cover(self, bounds: tuple[float, float, float, float]) -> tuple[int, int, int, int]:
-        """Row and column ranges (half-open) of the cells that touch ``bounds``, cut to this grid."""
+        """Row and column ranges (half-open) of the cells that touch ``bounds``, cut to this grid.
+
+        Bounds that do not meet the grid raise.
+        """
         min_x, min_y, max_x, max_y = bounds
-        return (
+        window = (
             max(math.floor((self.y0 - max_y) / self.dy), 0),
             min(math.ceil((self.y0 - min_y) / self.dy), self.height),
             max(math.floor((min_x - self.x0) / self.dx), 0),
             min(math.ceil((max_x - self.x0) / self.dx), self.width),
         )
+        if window[0] >= window[1] or window[2] >= window[3]:
+            raise ValueError(f"bounds {bounds} do not meet the grid {self.bounds}")
+        return window
 
     def same_grid(self, other: GridMeta) -> bool:
         tolerance = 1e-6 * min(self.dx, self.dy)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from verdigrid.functions import affine
 from verdigrid.functions.bands import class_mask
 from verdigrid.meta import GridMeta
 from verdigrid.operators.bands import CLASS_GROUPS
+from verdigrid.operators.grid import grid_pixels
 from verdigrid.operators.spatial import rasterize_polygons
 
 
@@ -28,17 +30,22 @@ def land_cover_fractions(
 def canopy_fraction(
     crowns: DataFrame, fine: GridMeta, k: int, polygon: Sequence[str] = ("crown_id",)
 ) -> DataFrame:
-    """Crown area over cell area per block of ``k`` x ``k`` fine cells; only blocks with crowns appear.
+    """Crown area over cell area for every block of ``k`` x ``k`` fine cells; 0 where no crown reaches.
 
-    Overlapping crowns cover a fine cell once.
+    Overlapping crowns cover a fine cell once. The coarse grid joins the covered blocks on their keys.
     """
     fine_area, cell_area = fine.dx * fine.dy, fine.dx * fine.dy * k * k
     cells = rasterize_polygons(crowns, fine, polygon)
-    return (
+    coarse = replace(fine, dx=fine.dx * k, dy=fine.dy * k, width=-(-fine.width // k), height=-(-fine.height // k))
+    covered = (
         cells.groupBy(
             affine.block_of(F.col("row_id"), k).cast("int").alias("row_id"),
             affine.block_of(F.col("col_id"), k).cast("int").alias("col_id"),
         )
         .agg((F.count(F.lit(1)) * F.lit(fine_area)).alias("area"))
+    )
+    return (
+        grid_pixels(crowns.sparkSession, coarse).join(covered, ["row_id", "col_id"], "left")
+        .withColumn("area", F.coalesce("area", F.lit(0.0)))
         .withColumn("fraction_canopy", F.col("area") / F.lit(cell_area))
     )

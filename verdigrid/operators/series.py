@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -24,9 +25,13 @@ def flatten_observations(records: DataFrame) -> DataFrame:
     ).withColumnsRenamed({"elementId": "element_id", "timeOffset": "time_offset"})
 
 
-def parse_time(df: DataFrame, name: str = "reference_time") -> DataFrame:
-    """ISO text to timestamp; text that is no time becomes null."""
-    return df.withColumn(name, F.try_to_timestamp(F.col(name)))
+def parse_time(df: DataFrame, name: str = "reference_time", strict: bool = True) -> DataFrame:
+    """ISO text to timestamp. Text that is no time raises; with ``strict=False`` it becomes null."""
+    time = F.try_to_timestamp(F.col(name))
+    if strict:
+        malformed = F.raise_error(F.concat(F.lit(f"{name} holds no time: "), F.col(name))).cast("timestamp")
+        time = F.when(time.isNull() & F.col(name).isNotNull(), malformed).otherwise(time)
+    return df.withColumn(name, time)
 
 
 def summer_filter(df: DataFrame, time: str = "reference_time", months: tuple[int, int] = SUMMER) -> DataFrame:
@@ -34,7 +39,8 @@ def summer_filter(df: DataFrame, time: str = "reference_time", months: tuple[int
 
 
 def observation_period(df: DataFrame, since: int = OBSERVED_SINCE, time: str = "reference_time") -> DataFrame:
-    return df.filter(F.year(time) >= since)
+    """Records from the start of the year on; the comparison with a literal is pushed to the scan."""
+    return df.filter(F.col(time) >= F.lit(datetime(since, 1, 1)))
 
 
 def attribute_filter(df: DataFrame, name: str, *values) -> DataFrame:

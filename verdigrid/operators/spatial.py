@@ -29,11 +29,13 @@ from verdigrid.functions.geometry import crosses_right, inside_cell, on_edge, ri
 from verdigrid.meta import GridMeta, require_same_crs
 from verdigrid.operators.bands import PIXEL_KEY
 from verdigrid.operators.grid import bounds_of, crop_to_extent, layer_bounds
-from verdigrid.session import broadcast_within
+from verdigrid.session import broadcast_within, within
 
 EDGE = ("x1", "y1", "x2", "y2")
 BROADCAST_EDGES = 100_000  # about 16 index entries per edge at most, see ``index_size``: below 100 MB
 MAX_CELL_EDGES = 4_096
+#: Index rows per edge that the own choice of the cell size stays below.
+INDEX_ROWS = 16
 SALTS = 8
 
 
@@ -151,6 +153,11 @@ def cell_index(edges: DataFrame, polygon: Sequence[str], cell: float) -> DataFra
 # ---------------------------------------------------------------- join
 
 
+def _within(bounds: tuple[float, float, float, float], x: str, y: str):
+    """Literal ranges of the coordinates, which reach the scan."""
+    return F.col(x).between(bounds[0], bounds[2]) & F.col(y).between(bounds[1], bounds[3])
+
+
 def _matched(points: DataFrame, index: DataFrame, how: str, small: bool, key, x: str, y: str) -> DataFrame:
     """Equi-join of points and index on the cell, with the exact test as further condition."""
     on = (F.col("_px") == F.col("bx")) & (F.col("_py") == F.col("by"))
@@ -201,6 +208,10 @@ def containment(
     if math.log2(size) != int(math.log2(size)):
         raise ValueError("the index cell size must be a power of two")
     small = n_edges <= broadcast_edges
+    if small and cell:  # a given cell size voids the bound that the edge count sets
+        small = within(cell_index(edges, polygon, size).select("bx", "by"), INDEX_ROWS * max(n_edges, 64))
+    if how != "left_anti" and n_edges:
+        points = points.filter(_within(bounds_of(layer_bounds(edges)), x, y))
     keyed = points.withColumns({"_px": _cell_number(F.col(x), size), "_py": _cell_number(F.col(y), size)})
     keep = [*columns, *polygon] if how == "inner" else columns
 
@@ -303,10 +314,19 @@ def mask_by_polygons(
     df: DataFrame, edges: DataFrame, bands: Sequence[str], polygon=("district_id",), **options
 ) -> DataFrame:
     """All rows stay; bands of pixels whose centre is outside every polygon become null."""
-    inside = containment(df, edges, polygon, "left_semi", **options)
-    outside = containment(df, edges, polygon, "left_anti", **options)
+    x, y = options.get("x", "x"), options.get("y", "y")
     empty = {b: F.lit(None).cast(df.schema[b].dataType) for b in bands}
-    return inside.unionByName(outside.withColumns(empty))
+    n_edges, size = index_size(edges, polygon)
+    if "cell" in options or n_edges > min(options.get("max_cell_edges", MAX_CELL_EDGES), options.get("broadcast_edges", BROADCAST_EDGES)):
+        inside = containment(df, edges, polygon, "left_semi", **options)
+        outside = containment(df, edges, polygon, "left_anti", **options)
+        return inside.unionByName(outside.withColumns(empty))
+    # few edges: one index row per cell holds the tests of all polygons, and one left join settles every pixel
+    tests = cell_index(edges, polygon, size).groupBy("bx", "by").agg(F.collect_list(F.struct("base", "edges")).alias("_tests"))
+    keyed = df.withColumns({"_px": _cell_number(F.col(x), size), "_py": _cell_number(F.col(y), size)})
+    joined = keyed.join(F.broadcast(tests), (F.col("_px") == F.col("bx")) & (F.col("_py") == F.col("by")), "left")
+    inside = F.coalesce(F.exists("_tests", lambda t: inside_cell(t["base"], t["edges"], F.col(x), F.col(y))), F.lit(False))
+    return joined.select(*[F.when(inside, F.col(c)).alias(c) if c in bands else F.col(c) for c in df.columns])
 
 
 def mask_and_crop(

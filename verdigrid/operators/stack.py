@@ -18,7 +18,9 @@ def check_same_grid(metas: Sequence[GridMeta]) -> None:
     first = metas[0]
     for other in metas[1:]:
         if (other.width, other.height) != (first.width, first.height):
-            raise ValueError("input rasters must have the same shape")
+            raise ValueError(
+                f"cannot stack: shape {other.height} x {other.width} of {other.name}, {first.height} x {first.width} of {first.name}"
+            )
         if not other.same_grid(first):
             raise ValueError("input rasters must have the same transform")
 

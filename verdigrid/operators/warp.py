@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -38,26 +37,27 @@ def reproject_nearest(
 ) -> tuple[DataFrame, GridMeta]:
     """Every band onto the target grid, nearest neighbour, in one pass over the source.
 
-    A source cell projects its centre into the target CRS, takes the target cells whose centre may fall
-    in it however the cell is turned there, and keeps those whose centre projects back into it. Each
-    target cell has one such source cell, so no join and no shuffle is needed. Target cells off the
-    source grid come from the target grid alone and hold ``fill`` (null by default).
+    A source cell projects its four corners into the target CRS, takes the target cells whose centre may lie in their
+    box (and one cell around it, as edges bend), and keeps those whose centre projects back into the source cell. Any pair of
+    supported CRS works, degrees included. Each target cell has one such source cell, so these rows need no shuffle.
+
+    With ``keep_outside`` every cell of the target grid comes out: those without a source row, off the source grid or missing in
+    a sparse raster, are added by an anti-join on the keys alone and hold ``fill`` (null by default).
     """
-    cells = utm.add_converted(
-        pixel_centres(df.select(*PIXEL_KEY, *bands), meta, "_x", "_y"),
-        F.col("_x"), F.col("_y"), meta.crs, target.crs, ("_tx", "_ty"),
-    )
-    # half a diagonal, and five per cent for the difference in scale between the two projections
-    reach = F.lit(1.05 * math.hypot(meta.dx, meta.dy) / 2.0)
-    half = F.lit(0.5)
-    first_col = F.greatest(F.ceil((F.col("_tx") - reach - F.lit(target.x0)) / F.lit(target.dx) - half), F.lit(0))
-    last_col = F.least(
-        F.floor((F.col("_tx") + reach - F.lit(target.x0)) / F.lit(target.dx) - half), F.lit(target.width - 1)
-    )
-    first_row = F.greatest(F.ceil((F.lit(target.y0) - F.col("_ty") - reach) / F.lit(target.dy) - half), F.lit(0))
-    last_row = F.least(
-        F.floor((F.lit(target.y0) - F.col("_ty") + reach) / F.lit(target.dy) - half), F.lit(target.height - 1)
-    )
+    cells = pixel_centres(df.select(*PIXEL_KEY, *bands), meta, "_x", "_y")
+    corners = []
+    for i, (a, b) in enumerate(((-0.5, -0.5), (-0.5, 0.5), (0.5, -0.5), (0.5, 0.5))):
+        names = (f"_tx{i}", f"_ty{i}")
+        cells = utm.add_converted(
+            cells, F.col("_x") + F.lit(a * meta.dx), F.col("_y") + F.lit(b * meta.dy), meta.crs, target.crs, names
+        )
+        corners.append(names)
+    left, right = F.least(*[x for x, _ in corners]), F.greatest(*[x for x, _ in corners])
+    bottom, top = F.least(*[y for _, y in corners]), F.greatest(*[y for _, y in corners])
+    first_col = F.greatest(F.floor((left - F.lit(target.x0)) / F.lit(target.dx)) - 1, F.lit(0))
+    last_col = F.least(F.floor((right - F.lit(target.x0)) / F.lit(target.dx)) + 1, F.lit(target.width - 1))
+    first_row = F.greatest(F.floor((F.lit(target.y0) - top) / F.lit(target.dy)) - 1, F.lit(0))
+    last_row = F.least(F.floor((F.lit(target.y0) - bottom) / F.lit(target.dy)) + 1, F.lit(target.height - 1))
 
     def span(first, last):
         return F.when(first <= last, F.sequence(first.cast("int"), last.cast("int")))
@@ -74,12 +74,9 @@ def reproject_nearest(
     ).select(*PIXEL_KEY, *bands)
     if not keep_outside:
         return inside, target
-    grid = _source_cell(grid_pixels(df.sparkSession, target), target, meta)
-    off_grid = ~(
-        F.col("_back_row").between(0, meta.height - 1) & F.col("_back_col").between(0, meta.width - 1)
-    )
+    missing = grid_pixels(df.sparkSession, target).join(inside.select(*PIXEL_KEY), list(PIXEL_KEY), "left_anti")
     empty = [F.lit(fill).cast(df.schema[b].dataType).alias(b) for b in bands]
-    return inside.unionByName(grid.filter(off_grid).select(*PIXEL_KEY, *empty)), target
+    return inside.unionByName(missing.select(*PIXEL_KEY, *empty)), target
 
 
 def _source_cell(cells: DataFrame, target: GridMeta, meta: GridMeta) -> DataFrame:

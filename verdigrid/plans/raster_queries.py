@@ -426,9 +426,11 @@ def rasterize_polygons(spark, sf):
 @query(
     "canopy_fraction",
     f"""WITH {CROWN_CELLS}
-SELECT CAST(floor(r / 50E0) AS INT) AS row_id, CAST(floor(c / 50E0) AS INT) AS col_id,
-       count(*) * 4E0 AS area, round(count(*) * 4E0 / 10000E0, 6) AS fraction_canopy
-FROM crown_cells GROUP BY 1, 2""",
+, covered_blocks AS (SELECT CAST(floor(r / 50E0) AS INT) AS row_id, CAST(floor(c / 50E0) AS INT) AS col_id, count(*) * 4E0 AS area
+FROM crown_cells GROUP BY 1, 2),
+coarse AS (SELECT CAST(i AS INT) AS row_id, CAST(j AS INT) AS col_id FROM unnest(generate_series(0, 14)) AS a(i), unnest(generate_series(0, 99)) AS b(j))
+SELECT g.row_id, g.col_id, coalesce(area, 0E0) AS area, round(coalesce(area, 0E0) / 10000E0, 6) AS fraction_canopy
+FROM coarse g LEFT JOIN covered_blocks n ON g.row_id = n.row_id AND g.col_id = n.col_id""",
     ("crown_edges",),
 )
 def canopy_fraction(spark, sf):

@@ -5,11 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def build_session(app: str = "verdigrid", master: str | None = None, **conf) -> SparkSession:
@@ -30,25 +32,36 @@ def build_session(app: str = "verdigrid", master: str | None = None, **conf) ->
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the shared checkpoint folder the session names.
+    """A fresh folder below the shared checkpoint folder that ``spark.checkpoint.dir`` names.
 
-    Only a session without that setting (a local test) gets a folder of its own.
+    Without that setting only a local session, where all tasks share the driver's disk, gets a temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="verdigrid-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = _local_scratch()
     return os.path.join(root, f"{label}-{uuid.uuid4().hex}")
 
 
-def within(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """True if ``df`` holds at most ``rows`` rows; reads no more than one row past the bound."""
-    return df.limit(rows + 1).count() <= rows
+@cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="verdigrid-")
 
 
-def broadcast_within(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only when its row count is checked to be within the bound.
+def within(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """True if ``df`` holds at most ``rows`` rows and about ``size`` bytes; reads no more than one row past the bound.
 
-    Beyond it the frame is returned unmarked and the join shuffles, with AQE splitting hot keys.
+    The bytes are those of the rows written as JSON, an upper estimate of what a broadcast holds per row.
     """
-    return F.broadcast(df) if within(df, rows) else df
+    width = F.length(F.to_json(F.struct(*df.columns))) if df.columns else F.lit(0)
+    found = df.limit(rows + 1).select(width.alias("w")).agg(F.count(F.lit(1)), F.coalesce(F.sum("w"), F.lit(0))).first()
+    return found[0] <= rows and found[1] <= size
+
+
+def broadcast_within(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast only when its rows and bytes are checked to be within the bounds.
+
+    Beyond them the frame is returned unmarked and the join shuffles, with AQE splitting hot keys.
+    """
+    return F.broadcast(df) if within(df, rows, size) else df

@@ -14,31 +14,37 @@ GEOMETRY = "struct<type: string, coordinates: string>"
 
 
 def scan_features(
-    spark: SparkSession, path: str, properties: str = "", line_delimited: bool = False
+    spark: SparkSession, path: str, properties: str = "", line_delimited: bool = False, strict: bool = True
 ) -> DataFrame:
     """Polygon features as ``feature_id, <properties>, rings``.
 
     ``properties`` is a DDL list such as ``"name string, population long"``. A feature collection is one
     JSON document and is parsed by one task; large layers come line-delimited, one feature per line,
-    and are split like any text file. ``feature_id`` is the hash of geometry and properties when the file
-    carries no ``id``, so it does not depend on partitioning; equal copies share it.
+    and are split like any text file; the features of one document are dealt out again after parsing. ``feature_id`` is the
+    hash of geometry and properties when the file carries no ``id``, so it does not depend on partitioning; equal copies
+    share it. A feature that is no JSON or no (multi)polygon raises; with ``strict=False`` it comes without rings and with
+    its text in ``reject``, which is null for all others.
     """
     props = f"struct<{', '.join(_ddl_fields(properties))}>"
     feature = f"struct<id: string, geometry: {GEOMETRY}, properties: {props}>"
     if line_delimited:
         rows = spark.read.text(path).filter(F.trim("value") != "").select(
-            F.from_json("value", feature).alias("f")
+            F.from_json("value", feature).alias("f"), F.col("value").alias("source")
         )
     else:
         whole = spark.read.option("multiLine", True).schema(f"features array<{feature}>").json(path)
-        rows = whole.select(F.explode("features").alias("f"))
+        rows = whole.select(F.explode("features").alias("f")).repartition("f").withColumn("source", F.to_json("f"))
     text, kind = F.col("f.geometry.coordinates"), F.col("f.geometry.type")
     rings = F.when(kind == "Polygon", F.from_json(text, f"array<{RING}>")).when(
         kind == "MultiPolygon", F.flatten(F.from_json(text, f"array<array<{RING}>>"))
     )
     feature_id = F.coalesce(F.col("f.id"), F.md5(F.to_json("f")))
-    out = rows.select(feature_id.alias("feature_id"), "f.properties.*", rings.alias("rings"))
-    return out.filter(F.col("rings").isNotNull())
+    out = rows.select(feature_id.alias("feature_id"), "f.properties.*", rings.alias("rings"), "source")
+    bad = F.col("rings").isNull()
+    if strict:
+        wrong = F.raise_error(F.concat(F.lit("no polygon feature: "), F.substring("source", 1, 200))).cast(out.schema["rings"].dataType)
+        return out.withColumn("rings", F.when(bad, wrong).otherwise(F.col("rings"))).drop("source")
+    return out.withColumn("reject", F.when(bad, F.col("source"))).drop("source")
 
 
 def _ddl_fields(properties: str) -> list[str]:
@@ -48,8 +54,12 @@ def _ddl_fields(properties: str) -> list[str]:
 
 
 def scan_edges(spark: SparkSession, path: str, properties: str = "", line_delimited: bool = False) -> DataFrame:
-    """Polygon features as edge rows, the form every containment operator takes."""
-    return edges_of_polygons(scan_features(spark, path, properties, line_delimited))
+    """Polygon features as edge rows, the form every containment operator takes.
+
+    Equal copies of a feature share their id and become one polygon, else each edge would count twice.
+    """
+    features = scan_features(spark, path, properties, line_delimited)
+    return edges_of_polygons(features.dropDuplicates(["feature_id"]))
 
 
 def point_features(df: DataFrame, x: str = "x", y: str = "y") -> DataFrame:

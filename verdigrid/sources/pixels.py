@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from verdigrid.functions import affine
 from verdigrid.meta import GridMeta
 from verdigrid.operators.bands import PIXEL_KEY, nodata_to_null, select_bands
-from verdigrid.operators.grid import crop_to_extent
+from verdigrid.operators.grid import crop_to_extent, pixel_centres
+from verdigrid.operators.spatial import mask_and_crop
 from verdigrid.session import scratch_path
 
 TILE = 256
@@ -29,12 +30,21 @@ def scan_pixels(
 
 
 def read_raster(
-    spark: SparkSession, path: str, bands: Sequence[str] | None = None
+    spark: SparkSession, path: str, bands: Sequence[str] | None = None, mask: DataFrame | None = None,
+    polygon: Sequence[str] = ("district_id",), mask_crs: str | None = None,
 ) -> tuple[DataFrame, GridMeta]:
-    """Pixel table and metadata as written by ``write_pixels``."""
+    """Pixel table and metadata as written by ``write_pixels``.
+
+    With ``mask`` (edges of a polygon layer) the window around the layer is read and pixels outside its polygons are null;
+    a layer that does not meet the raster raises.
+    """
     meta = GridMeta.from_df(spark.read.parquet(f"{path}/meta"))
     names = list(bands) if bands is not None else list(meta.bands)
-    return scan_pixels(spark, f"{path}/pixels", names, meta.nodata), meta.with_bands(names)
+    df, meta = scan_pixels(spark, f"{path}/pixels", names, meta.nodata), meta.with_bands(names)
+    if mask is None:
+        return df, meta
+    masked, window = mask_and_crop(pixel_centres(df, meta), meta, mask, names, polygon, mask_crs)
+    return masked.select(*PIXEL_KEY, *names), window
 
 
 def write_pixels(
