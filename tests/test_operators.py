@@ -100,7 +100,7 @@ def test_nearest_without_shuffle_and_identity(spark):
     df = raster(spark, values)
     same, _ = resample.resample_nearest(df, meta(3, 4), 100.0, ["v"])
     assert as_array(same) == values
-    finer, m = resample.resample_nearest(df, meta(3, 4), 40.0, ["v"])
+    finer, m = resample.resample_nearest(df, meta(3, 4), 40.0, ["v"], sparse=True)
     assert (m.height, m.width) == (8, 10)
     got = as_array(finer)
     assert all(got[i][j] == values[min(int((i + 0.5) * 0.4), 2)][min(int((j + 0.5) * 0.4), 3)] for i in range(8) for j in range(10))
@@ -191,6 +191,19 @@ def test_period_is_pushed_to_the_scan(spark, tmp_path):
     assert "GreaterThanOrEqual(reference_time" in plan_of(found)
 
 
+def test_resampling_of_sparse_rasters_gives_every_cell(spark):
+    df = raster(spark, [[float(4 * r + c) for c in range(4)] for r in range(4)]).filter("(row_id + col_id) % 3 > 0")
+    near, m = resample.resample_nearest(df, meta(4, 4), 50.0, ["v"])
+    got = {(r["row_id"], r["col_id"]): r["v"] for r in near.collect()}
+    assert len(got) == near.count() == m.width * m.height == 64
+    for (r, c), v in got.items():
+        assert v == (None if (r // 2 + c // 2) % 3 == 0 else 4.0 * (r // 2) + c // 2)
+    smooth, m = resample.resample_bilinear(df, meta(4, 4), 2.0, ["v"])
+    assert smooth.count() == smooth.select(*["row_id", "col_id"]).distinct().count() == m.width * m.height == 64
+    for how, args in ((resample.resample_nearest, 50.0), (resample.resample_bilinear, 2.0)):
+        assert 0 < how(df, meta(4, 4), args, ["v"], sparse=True)[0].count() < 64
+
+
 def test_crop_without_overlap_raises(spark):
     with pytest.raises(ValueError, match="do not meet"):
         grid.crop_to_extent(raster(spark, [[1.0]]), meta(1, 1), (0.0, 0.0, 1.0, 1.0))

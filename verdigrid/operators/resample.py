@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from verdigrid.functions import affine
 from verdigrid.meta import GridMeta
 from verdigrid.operators.bands import PIXEL_KEY
+from verdigrid.operators.grid import grid_pixels
 
 # A weight below this is rounding noise of the position, and a missing neighbour does not matter.
 NO_WEIGHT = 1e-9
@@ -29,10 +30,22 @@ def _outputs(first: Column, last: Column) -> Column:
     return F.when(first <= last, F.sequence(first, last)).otherwise(F.expr("array_repeat(0L, 0)"))
 
 
+def _complete(df: DataFrame, meta: GridMeta, bands: Sequence[str]) -> DataFrame:
+    """The raster with a row for every cell; only keys are shuffled to find those that have none."""
+    rows = df.select(*[F.col(k).cast("int").alias(k) for k in PIXEL_KEY], *bands)
+    missing = grid_pixels(df.sparkSession, meta).join(rows.select(*PIXEL_KEY), list(PIXEL_KEY), "left_anti")
+    return rows.unionByName(missing.select(*PIXEL_KEY, *[F.lit(None).cast(df.schema[b].dataType).alias(b) for b in bands]))
+
+
 def resample_nearest(
-    df: DataFrame, meta: GridMeta, cell: float, bands: Sequence[str]
+    df: DataFrame, meta: GridMeta, cell: float, bands: Sequence[str], sparse: bool = False
 ) -> tuple[DataFrame, GridMeta]:
-    """Snap to another cell size on the same upper-left corner; narrow, without any shuffle."""
+    """Snap to another cell size on the same upper-left corner.
+
+    Every output cell comes out, null where its source cell has no row. With ``sparse=True`` only cells with a source row do, and
+    nothing is shuffled.
+    """
+    df = df if sparse else _complete(df, meta, bands)
     out = replace(
         meta, dx=cell, dy=cell,
         width=round(meta.width * meta.dx / cell), height=round(meta.height * meta.dy / cell),
@@ -63,15 +76,16 @@ def resample_nearest(
 
 
 def resample_bilinear(
-    df: DataFrame, meta: GridMeta, factor: float, bands: Sequence[str]
+    df: DataFrame, meta: GridMeta, factor: float, bands: Sequence[str], sparse: bool = False
 ) -> tuple[DataFrame, GridMeta]:
     """Scale rows and columns by ``factor``, bilinear between pixel centres of first and last cell.
 
     Output ``i`` sits at source position ``i * (n_in - 1) / (n_out - 1)``. The shuffle carries only the
     source cells that an output needs (up to four copies, merged map-side where neighbours share a
     partition); outputs are emitted afterwards from their 2 x 2 block. A missing neighbour with weight
-    makes the output missing.
+    makes the output missing. Every output cell comes out, unless ``sparse=True`` leaves out those whose block has no row.
     """
+    df = df if sparse else _complete(df, meta, bands)
     out = replace(
         meta,
         width=round(meta.width * factor), height=round(meta.height * factor),
