@@ -60,13 +60,12 @@ def scan_features(spark, sf):
 
 @query(
     "write_features",
-    "SELECT x, y, row_id, col_id, dtm, round(lst, 7) AS lst FROM pixels WHERE dtm IS NOT NULL AND lst IS NOT NULL",
+    "SELECT x, y, row_id, col_id, dtm, round(lst, 7) AS lst FROM pixels",
     ("pixels",),
 )
 def write_features(spark, sf):
     path = scratch_path(spark, "points")
-    rows = ob.drop_missing(views.pixels(spark, sf, ("dtm", "lst")))
-    features.write_features(rows, path)
+    features.write_features(views.pixels(spark, sf, ("dtm", "lst")), path)
     back = features.scan_points(spark, path, "row_id int, col_id int, dtm double, lst double")
     return rounded(back, 7, "lst")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,8 @@ from verdigrid.operators.spatial import mask_and_crop
 from verdigrid.session import scratch_path
 
 TILE = 256
+#: Uncompressed bytes of a file, and those below which no further task is worth it.
+FILE_BYTES, LEAST_BYTES = 256 << 20, 4 << 20
 
 
 def scan_pixels(
@@ -53,16 +56,18 @@ def write_pixels(
     """Store a pixel table and its metadata row.
 
     Rows are range-partitioned by tile and sorted inside each file, so the row-group statistics of
-    row, column and coordinates cut scans to the wanted window; there is no folder per tile.
+    row, column and coordinates cut scans to the wanted window; there is no folder per tile. Without ``files`` their
+    number follows from the size of the grid, which the metadata gives.
     """
     bands = [c for c in df.columns if c not in (*PIXEL_KEY, "x", "y")]
     if list(meta.bands) != bands:
         raise ValueError(f"band names {list(meta.bands)} do not match the bands {bands}")
     tile = [affine.block_of(F.col(k), TILE).cast("long") for k in PIXEL_KEY]
     order = [*tile, *[F.col(k) for k in PIXEL_KEY]]
-    laid_out = (
-        df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order)
-    ).sortWithinPartitions(*order)
+    size = 8 * meta.width * meta.height * (len(bands) + len(PIXEL_KEY))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    files = files or max(math.ceil(size / FILE_BYTES), min(cores, math.ceil(size / LEAST_BYTES)), 1)
+    laid_out = df.repartitionByRange(files, *order).sortWithinPartitions(*order)
     laid_out.write.mode(mode).parquet(f"{path}/pixels")
     meta.to_df(df.sparkSession).coalesce(1).write.mode(mode).parquet(f"{path}/meta")
 
