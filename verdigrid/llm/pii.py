@@ -42,6 +42,14 @@ _PLAIN = r"[^\p{L}\p{N}]"
 _TITLE = rf"^(?:{_TITLES})\.? "
 
 
+def may_hold(text: Column) -> Column:
+    """A cheap test that every text with an entity passes: an at sign, a digit, a long run of hexadecimal letters, or an honorific."""
+    named = text.rlike(r"[@\p{Nd}]|[a-fA-F]{32}")
+    for title in (t for names in HONORIFICS.values() for t in names):
+        named = named | text.contains(title + " ") | text.contains(title + ". ")
+    return named
+
+
 def kind_of(mention: Column) -> Column:
     """The first kind whose pattern the whole mention has."""
     out = F.lit(None).cast("string")
@@ -196,7 +204,7 @@ def replace_pii(docs: DataFrame, secret: str, key: str = "doc_id", text: str = "
     """
     docs = docs.drop(*[c for c in docs.columns if c.lower() == "n_replaced"])
     mark, found, new = fresh(docs, "mark", "found", "new")
-    has = F.coalesce(F.col(text).rlike(PATTERN), F.lit(False))
+    has = F.coalesce(may_hold(F.col(text)) & F.col(text).rlike(PATTERN), F.lit(False))
     touched = docs.where(has).withColumn(mark, F.xxhash64(text))
     mentions = touched.select(F.col(key).alias("of"), F.col(mark).alias("of_mark"), F.posexplode(F.regexp_extract_all(F.col(text), F.lit(PATTERN), 0)).alias("pos", "mention"))
     mentions = mentions.withColumn("kind", kind_of(F.col("mention")))
