@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from verdigrid.llm.common import in_arrow, solid_key, stored
+from verdigrid.llm.exact_dedup import normal_form, sha256
 from verdigrid.llm.ngrams import SHARD, perplexities, train
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -24,6 +25,10 @@ DEVIATIONS = 4.0
 LENGTH_NOISE = 2.0
 #: Losses are placed on a grid of this many steps per nat; medians are exact on it.
 GRID = 1024
+#: A band is never narrower than so many nats for each deviation, also where most losses of a language agree.
+LEAST_SPREAD = 1 / 64
+#: Digests of repeated texts are broadcast up to this number (32 bytes each), beyond it they are joined by shuffle.
+BROADCAST_DIGESTS = 1_000_000
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
 
@@ -109,25 +114,45 @@ def bands(losses: DataFrame) -> DataFrame:
     centre = middle(steps, "centre")
     away = steps.join(centre, "lang_key").groupBy("lang_key", F.abs(F.col("step") - F.col("centre")).alias("step")).agg(F.sum("n").alias("n"))
     both = centre.join(middle(away, "spread"), "lang_key")
-    return stored(both.select("lang_key", ((F.col("centre") + 0.5) / GRID).alias("centre"), (F.col("spread") / GRID).alias("spread")), "bands")
+    return stored(both.select("lang_key", ((F.col("centre") + 0.5) / GRID).alias("centre"), F.greatest(F.col("spread") / GRID, F.lit(LEAST_SPREAD)).alias("spread")), "bands")
 
 
-def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", rows: int = SHARD) -> DataFrame:
+def different_texts(docs: DataFrame) -> DataFrame:
+    """One ``text`` for each different normal form in ``docs (text, digest)``. Only texts of a repeated digest move; they are compared in full."""
+    often = stored(docs.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest"), "repeated-digests")
+    if often.count() <= BROADCAST_DIGESTS:
+        often = F.broadcast(often)
+    single = docs.join(often, "digest", "left_anti").select("text")
+    copies = docs.join(often, "digest", "left_semi").groupBy("digest", normal_form(F.col("text")).alias("content")).agg(F.min("text").alias("text"))
+    return single.unionByName(copies.select("text"))
+
+
+def judge(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", rows: int = SHARD, each_text_once: bool = False,
+) -> DataFrame:
     """``id``, the five counts, ``base_failed, mean_loss, low, high, kept`` for each row of ``docs``.
 
     The model is counted over all whole texts of ``docs``. A row is kept if it passes the base rules (enough words, few repeated
     windows) and its mean loss lies in the band of its language. A null text has no words and fails; a null language is a
     language of its own; repeated rows get the same verdict. Other columns play no part. An empty table gives an empty result.
+
+    With ``each_text_once`` texts of one normal form (see ``exact_dedup``) count once in the model and once per language in its band, so
+    a group of copies neither memorises itself nor moves the band; all its rows are still judged.
     """
     plain = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), solid_key(F.col(lang)).alias("lang_key"), F.xxhash64(text).alias("text_hash"))
-    model = train(plain)
+    if each_text_once:
+        plain = plain.withColumn("digest", sha256(normal_form(F.col("text"))))
+    model = train(different_texts(plain.select("text", "digest")) if each_text_once else plain)
     losses = perplexities(plain, model, "id", "text", rows)
     losses = losses.select(F.col("id").alias("of"), F.col("text_hash").alias("of_hash"), "mean_loss", "n_scored")
     found = counts(plain)
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     found = found.join(losses, found["id"].eqNullSafe(losses["of"]) & (F.col("text_hash") == F.col("of_hash")))
     found = stored(found.withColumn("base_failed", failed).drop("of", "of_hash"), "quality")
-    band = bands(found.where("NOT base_failed AND mean_loss IS NOT NULL").select("lang_key", F.col("mean_loss").alias("loss")))
+    usable = found.where("NOT base_failed AND mean_loss IS NOT NULL").withColumn("loss", F.col("mean_loss"))
+    if each_text_once:
+        usable = usable.groupBy("lang_key", "digest").agg(F.min("loss").alias("loss"))
+    band = bands(usable.select("lang_key", "loss"))
     room = F.col("spread") * DEVIATIONS + F.lit(LENGTH_NOISE) / F.sqrt(F.greatest("n_scored", F.lit(1)))
     low, high = F.col("centre") - room, F.col("centre") + room
     good = ~F.col("base_failed") & F.col("mean_loss").between(F.col("low"), F.col("high"))
