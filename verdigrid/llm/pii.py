@@ -133,11 +133,17 @@ def _email(value: Column, seed: Column) -> Column:
     return F.concat(_letters(F.substring(value, F.lit(1), F.length(value) - F.length(end)), seed), end)
 
 
-def _name(value: Column, gender: Column, seed: Column) -> Column:
-    """As many words as the value: a given name of the same gender and script before a made-up family name."""
+def _name(value: Column, gender: Column, seed: Column, attempt: Column) -> Column:
+    """As many words as the value: a given name of the same gender and script before a made-up family name.
+
+    The family name has three syllables and one more for each further attempt, so any number of names finds room.
+    """
     def family(script: str) -> Column:
         parts = F.array(*map(F.lit, SYLLABLES[script]))
-        return F.initcap(F.concat(*[F.get(parts, (_number(seed, i) % len(SYLLABLES[script])).cast("int")) for i in (1, 2, 3)]))
+        syllable = lambda i: F.get(parts, (_number(seed, i) % len(SYLLABLES[script])).cast("int"))
+        # number 4 draws the given name
+        more = F.transform(F.sequence(F.lit(0), attempt), lambda i: F.when(i == 0, "").otherwise(syllable(i + 4)))
+        return F.initcap(F.concat(*[syllable(i) for i in (1, 2, 3)], F.array_join(more, "")))
 
     def given(script: str) -> Column:
         pick = lambda g: F.get(F.array(*map(F.lit, GIVEN[script][g])), (_number(seed, 4) % len(GIVEN[script][g])).cast("int"))
@@ -153,7 +159,7 @@ def surrogate(kind: Column, value: Column, gender: Column, secret: str, attempt:
     def drawn(seed: Column) -> Column:
         return (
             F.when(kind == "email", _email(value, seed)).when(kind == "secret", _hex(value, seed)).when(kind == "ip", _ip(value, seed))
-            .when(kind == "card", _card(value, seed)).when(kind == "phone", _phone(value, seed)).otherwise(_name(value, gender, seed))
+            .when(kind == "card", _card(value, seed)).when(kind == "phone", _phone(value, seed)).otherwise(_name(value, gender, seed, attempt))
         )
 
     return _let(F.concat_ws("|", F.lit(secret), kind, value, attempt.cast("string")), drawn)
@@ -163,7 +169,7 @@ def entity_table(entities: DataFrame, secret: str, rounds: int = 100) -> DataFra
     """``kind, value, gender, surrogate`` for different ``entities (kind, value, gender)``, checked for collisions.
 
     Of entities that draw one surrogate the least keeps it; the others, and any whose surrogate is itself an entity of the data, draw again.
-    Each round is a few grouped aggregates and joins; only a flag reaches the driver.
+    Family names grow with each draw. Each round is a few grouped aggregates and joins; only a flag reaches the driver.
     """
     drawn = entities.withColumn("attempt", F.lit(0))
     for _ in range(rounds):
