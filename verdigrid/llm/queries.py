@@ -12,12 +12,15 @@ from verdigrid.llm import bpe
 from verdigrid.llm.classifier import classify
 from verdigrid.llm.common import table
 from verdigrid.llm.exact_dedup import exact_dedup
+from verdigrid.llm.hard_negatives import hard_negatives
 from verdigrid.llm.licenses import scan_licenses
+from verdigrid.llm.line_dedup import ascii_lower, dedup_lines
 from verdigrid.llm.mixing import mix_plan
 from verdigrid.llm.pii import replace_pii
 from verdigrid.llm.quality import judge
 from verdigrid.llm.repeats import remove_repeats
 from verdigrid.llm.simhash import near_dedup
+from verdigrid.llm.spelling import variant_groups
 from verdigrid.llm.url_lists import filter_urls, host_of
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -181,3 +184,64 @@ SURROGATE_KEY = "verdigrid-example-key"
 @query("op8_pii_surrogates")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replace_pii(table(spark, sf_dir, "documents").select("doc_id", "text"), SURROGATE_KEY)
+
+
+@query(
+    "op11_line_dedup",
+    r"""
+    WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+    k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+    j AS (SELECT doc_id, line, pos, length(key) >= 10 AND doc_id > min(doc_id) OVER (PARTITION BY key) AS gone FROM k)
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+    FROM j GROUP BY doc_id
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def misspelt_words(docs: DataFrame, every: int = 97) -> DataFrame:
+    """``word, n``: lower-cased runs of letters of all whole texts, one in about ``every`` with a letter deleted, by the checksum of document and run.
+
+    A null text has no words; a null ``doc_id`` counts as empty text in the checksum.
+    """
+    runs = docs.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z\u00C0-\u00FF]+"), 0)).alias("run"))
+    runs = runs.select(ascii_lower(F.col("run")).alias("run"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"))
+    runs = runs.select("run", F.crc32(F.concat("id", F.lit(":"), "run")).alias("h"), F.char_length("run").alias("length"))
+    at = (F.col("h") % F.col("length")).cast("int")
+    short = F.concat(F.substring(F.col("run"), F.lit(1), at), F.substring(F.col("run"), at + 2, F.col("length")))
+    return runs.select(F.when(F.col("h") % every == 0, short).otherwise(F.col("run")).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+
+
+@query("op12_spelling_variants")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = misspelt_words(table(spark, sf_dir, "documents").select("doc_id", "text")).where("char_length(word) >= 5 AND n >= 3")
+    return variant_groups(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query(
+    "op13_hard_negatives",
+    """
+    WITH v AS (
+      SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+                 CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
+          FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+    p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+    SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INT) AS rank, other AS negative_id, positive_score, score AS negative_score
+    FROM p JOIN s USING (anchor_id)
+    WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)
+    QUALIFY row_number() OVER w <= 10
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END"))
+    return hard_negatives(rows, F.coalesce(F.col("vec_id") % 100 == 0, F.lit(False)))
