@@ -23,7 +23,9 @@ SYMBOLS = 1 << BITS
 #: Entries of a model that one task holds at a time; a larger model is cut into more shards.
 SHARD = 2_000_000
 #: Characters that are hashed and sorted at a time.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
+#: Different n-grams that a task adds up before it hands them on.
+HELD = 1 << 18
 #: Bits of an n-gram below the number of the table it belongs to.
 _TABLE = 40
 
@@ -70,14 +72,27 @@ def pieces(texts: Iterable[str | None]) -> Iterator[list[str]]:
         yield held
 
 
+def added(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Two tables of sorted keys and counts as one."""
+    keys, n = np.concatenate([one[0], two[0]]), np.concatenate([one[1], two[1]])
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    return keys[starts], np.add.reduceat(n, starts).astype(np.int64) if len(keys) else n
+
+
 def counted(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``gram, n`` over all whole texts: counts per chunk first, then summed by Spark."""
+    """``gram, n`` over all whole texts: counts per chunk first, added up within a task while they fit, then summed by Spark."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in pieces(t.as_py() for t in batch.column(0)):
-                gram, n = np.unique(grams(piece)[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(n.astype(np.int64))], names=["gram", "n"])
+        held = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for piece in pieces(t.as_py() for batch in batches for t in batch.column(0)):
+            held = added(held, np.unique(grams(piece)[0], return_counts=True))
+            if len(held[0]) > HELD:
+                yield pa.RecordBatch.from_arrays([pa.array(held[0]), pa.array(held[1])], names=["gram", "n"])
+                held = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if len(held[0]):
+            yield pa.RecordBatch.from_arrays([pa.array(held[0]), pa.array(held[1])], names=["gram", "n"])
 
     return in_arrow(docs.select(text), run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 

@@ -118,12 +118,12 @@ def bands(losses: DataFrame) -> DataFrame:
 
 
 def different_texts(docs: DataFrame) -> DataFrame:
-    """One ``text`` for each different normal form in ``docs (text, digest)``. Only texts of a repeated digest move; they are compared in full."""
+    """One ``text`` for each different normal form in ``docs (text, digest)``, told by its digest of 256 bits. Only texts of a repeated digest move."""
     often = stored(docs.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest"), "repeated-digests")
     if often.count() <= BROADCAST_DIGESTS:
         often = F.broadcast(often)
     single = docs.join(often, "digest", "left_anti").select("text")
-    copies = docs.join(often, "digest", "left_semi").groupBy("digest", normal_form(F.col("text")).alias("content")).agg(F.min("text").alias("text"))
+    copies = docs.join(often, "digest", "left_semi").groupBy("digest").agg(F.min("text").alias("text"))
     return single.unionByName(copies.select("text"))
 
 
