@@ -57,11 +57,12 @@ def test_long_words_merge_alike_on_both_ways():
 
 def test_texts_longer_than_a_piece(spark, library, monkeypatch):
     with open(PATH, "rb") as f:
-        model = bpe.WordBpe(f.read())
+        data = f.read()
+    model, tokens = bpe.WordBpe(data), bpe.WordTokens(data)
     monkeypatch.setattr(bpe, "PIECE", 7)
     for text in ("one two  three\nfour five", "nospacesatallinhere", "a\nb c\nd e f g h i j k l"):
         assert model.encode(text) == expected(library, text)[0]
-        assert model.decode(model.encode(text)) == expected(library, text)[1]
+        assert tokens.decode(model.encode(text)) == expected(library, text)[1]
 
 
 def test_query(spark, library):
@@ -78,3 +79,11 @@ def test_empty_table_and_null_ids(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.digests(empty, PATH).count() == 0
     assert bpe.decode(spark.sql("SELECT CAST(NULL AS BINARY) AS ids"), PATH).select(F.col("decoded")).first()[0] == ""
+
+
+def test_every_code_point_within_a_word(library):
+    with open(PATH, "rb") as f:
+        model = bpe.WordBpe(f.read())
+    points = [c for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [" ".join(f"a{chr(c)}b" for c in points[i : i + 500]) for i in range(0, len(points), 500)]
+    assert [i for i, text in enumerate(texts) if model.encode(text) != expected(library, text)[0]] == []

@@ -19,7 +19,7 @@ from verdigrid.llm.common import in_arrow
 #: Words of at most so many parts keep their ranks in one array; longer ones use a heap. Same result.
 SHORT = 96
 #: Words that a worker remembers, and the length up to which it does.
-REMEMBERED, REMEMBERED_LENGTH = 200_000, 48
+REMEMBERED, REMEMBERED_LENGTH = 100_000, 48
 #: Texts are cut at white space into pieces of about so many characters.
 PIECE = 1 << 20
 _NONE = 1 << 60
@@ -32,6 +32,26 @@ def byte_symbols() -> list[str]:
     return [chr(b if b in shown else next(free)) for b in range(256)]
 
 
+# Where the tables of the tokenizers library differ from those of this Python and its ``regex``, found by trying every code point.
+#: Code points that ``regex`` takes for letters or numbers and the library does not.
+NO_LETTERS = (
+    (0x558, 0x558), (0x58B, 0x58C), (0x88F, 0x88F), (0xC5C, 0xC5C), (0xCDC, 0xCDC), (0x208F, 0x208F), (0x209D, 0x209F),
+    (0xA7CE, 0xA7CF), (0xA7DD, 0xA7DD), (0xA7E2, 0xA7E2), (0xA7F1, 0xA7F1), (0xAB6C, 0xAB6D), (0x107BB, 0x107BF), (0x10940, 0x10959),
+    (0x10EC5, 0x10EC7), (0x10ED9, 0x10EEE), (0x11B0A, 0x11B0A), (0x11DB0, 0x11DDB), (0x11DF1, 0x11DF1), (0x16EA0, 0x16EB8), (0x16EBB, 0x16ED3),
+    (0x16FF2, 0x16FF3), (0x187F8, 0x187FF), (0x18CD6, 0x18CDA), (0x18D09, 0x18D20), (0x18D80, 0x18DF2), (0x18E00, 0x19191), (0x191A0, 0x191D2),
+    (0x1B123, 0x1B128), (0x1B168, 0x1B168), (0x1D6A6, 0x1D6A6), (0x1DF1F, 0x1DF24), (0x1DF2B, 0x1DF81), (0x1DF90, 0x1DF96), (0x1DFCD, 0x1DFFF),
+    (0x1E6C0, 0x1E6DE), (0x1E6E0, 0x1E6E2), (0x1E6E4, 0x1E6E5), (0x1E6E7, 0x1E6ED), (0x1E6F0, 0x1E6F4), (0x1E6FE, 0x1E6FF), (0x2B73A, 0x2B73F),
+    (0x2B81E, 0x2B81E), (0x2CEA2, 0x2CEAD), (0x323B0, 0x33479), (0x3D000, 0x3FC3F),
+)
+#: Upper-case letters that the library lower-cases and Python does not yet, with their lower case; the last two are runs of letters at one distance.
+LOWER_CASE = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B}
+LOWER_CASE |= {c: c + 0x20 for c in range(0x10D50, 0x10D66)} | {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}
+
+
+def one_of(ranges) -> regex.Pattern:
+    return regex.compile("[" + "".join(rf"\U{a:08X}-\U{b:08X}" for a, b in ranges) + "]")
+
+
 class WordBpe:
     """Encoder of a vocabulary whose words end in a suffix: lower case, white space dropped."""
 
@@ -40,9 +60,6 @@ class WordBpe:
         model = spec["model"]
         vocab, suffix = dict(model["vocab"]), model["end_of_word_suffix"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.tokens = [b""] * (max([*vocab.values(), *self.special.values()]) + 1)
-        for token, number in [*vocab.items(), *self.special.items()]:
-            self.tokens[number] = token.encode()
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         self.rank = {(vocab[a], vocab[b]): i for i, (a, b) in enumerate(pairs)}
         self.merged = [vocab[a + b] for a, b in pairs]
@@ -50,10 +67,18 @@ class WordBpe:
         self.inner = [vocab[s] for s in symbols]
         self.last = [vocab[s + suffix] for s in symbols]
         splitter = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.words = regex.compile(splitter).findall
+        self.split = regex.compile(splitter)
+        self.no_letter, self.odd = one_of(NO_LETTERS), one_of([*NO_LETTERS, *((c, c) for c in LOWER_CASE)])
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self.known: dict[str, bytes] = {}
 
+    def words(self, text: str) -> list[str]:
+        """The words of a lower-cased text, by the letters and numbers that the library knows."""
+        if not self.odd.search(text):
+            return self.split.findall(text)
+        text = text.translate(LOWER_CASE)
+        return [text[m.start() : m.end()] for m in self.split.finditer(self.no_letter.sub("\uffff", text))]
+
     def encode_word(self, word: str) -> list[int]:
         raw = word.encode()
         parts = [self.inner[b] for b in raw[:-1]]
@@ -123,6 +148,17 @@ class WordBpe:
                 out += [get(w) or self._packed(w) for w in self.words(plain)]
         return b"".join(out)
 
+
+class WordTokens:
+    """Decoder: the bytes of each token."""
+
+    def __init__(self, data: bytes):
+        spec = json.loads(data)
+        numbered = [*spec["model"]["vocab"].items(), *((t["content"], t["id"]) for t in spec["added_tokens"])]
+        self.tokens = [b""] * (max(number for _, number in numbered) + 1)
+        for token, number in numbered:
+            self.tokens[number] = token.encode()
+
     def decode(self, packed: bytes) -> str:
         """The tokens of the ids, joined by spaces: the file names no decoder."""
         tokens, out = self.tokens, []
@@ -146,15 +182,15 @@ def pieces(text: str) -> Iterator[str]:
     yield text[at:]
 
 
-_LOADED: dict[bytes, WordBpe] = {}
+_LOADED: dict[tuple[type, bytes], WordBpe | WordTokens] = {}
 
 
-def loaded(data: bytes) -> WordBpe:
-    """The model, built once in each Python worker."""
-    key = hashlib.sha256(data).digest()
+def loaded(kind: type, data: bytes) -> WordBpe | WordTokens:
+    """The encoder or decoder, built once in each Python worker; a worker keeps only the last one."""
+    key = kind, hashlib.sha256(data).digest()
     if key not in _LOADED:
         _LOADED.clear()
-        _LOADED[key] = WordBpe(data)
+        _LOADED[key] = kind(data)
     return _LOADED[key]
 
 
@@ -175,7 +211,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", cou
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = loaded(data.value)
+        model = loaded(WordBpe, data.value)
         for batch in batches:
             packed = [model.encode(t.as_py()) for t in batch.column(at)]
             yield pa.RecordBatch.from_arrays(
@@ -194,7 +230,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", decoded: str = "deco
     at = encoded.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = loaded(data.value)
+        model = loaded(WordTokens, data.value)
         for batch in batches:
             texts = [model.decode(p.as_py() or b"") for p in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, decoded])

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,10 +71,25 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+def hand_back() -> None:
+    """Give memory that this worker has freed back to the system, as workers stay after their task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def in_arrow(df: DataFrame, run, schema) -> DataFrame:
     """``mapInArrow`` by a function of this package."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def tidy(batches):
+        try:
+            yield from run(batches)
+        finally:
+            hand_back()
+
+    return df.mapInArrow(tidy, schema)
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
