@@ -1,5 +1,6 @@
 """Containment, masking, rasterising: golden cases, brute force, plan checks."""
 
+import math
 import random
 
 import pytest
@@ -57,12 +58,12 @@ def random_layer(seed, polygons=4, span=32, vertices=9):
     return edges
 
 
-@pytest.mark.parametrize("seed,cell,crowd", [(1, None, 4096), (2, 4.0, 4096), (3, 1.0, 4096), (4, 8.0, 2), (5, 32.0, 3), (6, 2.0, 1)])
+@pytest.mark.parametrize("seed,cell,crowd", [(1, None, 512), (2, 4.0, 512), (3, 1.0, 512), (4, 8.0, 6), (5, 32.0, 7), (7, 64.0, 5)])
 def test_matches_brute_force(spark, seed, cell, crowd):
     edges, points = random_layer(seed), lattice(37)
     p, e = spark.createDataFrame(points, POINTS), spark.createDataFrame(edges, EDGES)
     want = brute_force(points, edges)
-    options = dict(polygon=("poly_id",), cell=cell, max_cell_edges=crowd)
+    options = dict(polygon=("poly_id",), cell=cell, cell_edges=crowd)
     pairs = [(r["row_id"], r["col_id"], r["poly_id"]) for r in spatial.containment(p, e, how="inner", **options).collect()]
     assert len(pairs) == len(set(pairs))
     assert set(pairs) == want
@@ -79,6 +80,66 @@ def test_shuffled_and_salted_form_agrees(spark):
     assert {(r["row_id"], r["col_id"], r["poly_id"]) for r in got.collect()} == brute_force(points, edges)
 
 
+LIMITS = [dict(), dict(cell=32.0, cell_edges=6), dict(broadcast_edges=0), dict(cell=16.0, cell_edges=7, broadcast_edges=0)]
+
+
+@pytest.mark.parametrize("options", LIMITS)
+def test_points_need_no_key(spark, options):
+    """Repeated keys, absent keys and repeated points give the same at every limit."""
+    edges, points = random_layer(9), [(0, 0, x, y) for _, _, x, y in lattice(20, 1.5)] * 2
+    e = spark.createDataFrame(edges, EDGES)
+    want = brute_force([(i, 0, x, y) for i, (_, _, x, y) in enumerate(points)], edges)
+    pairs = sorted((points[i][2], points[i][3], p) for i, _, p in want)
+    inside = sorted((points[i][2], points[i][3]) for i in {i for i, _, _ in want})
+    same = spark.createDataFrame(points, POINTS)
+    for frame in (same, same.select("x", "y")):
+        got = spatial.spatial_inner_join(frame, e, ("poly_id",), **options).collect()
+        assert sorted((r["x"], r["y"], r["poly_id"]) for r in got) == pairs
+        assert sorted((r["x"], r["y"]) for r in spatial.clip_points(frame, e, ("poly_id",), **options).collect()) == inside
+        masked = spatial.mask_by_polygons(frame.withColumn("band", F.lit(1.0)), e, ["band"], ("poly_id",), **options).collect()
+        assert len(masked) == len(points)
+        assert sorted((r["x"], r["y"]) for r in masked if r["band"] is not None) == inside
+
+
+def star(poly, n, spread):
+    """A ring of ``n`` corners about the origin, every second one close to it: all edges meet within a small place."""
+    out = []
+    for i in range(n):
+        far = spread if i % 2 else spread / 256
+        out.append((far * math.cos(2 * math.pi * i / n), far * math.sin(2 * math.pi * i / n)))
+    return ring(poly, out)
+
+
+def test_many_edges_in_one_place(spark):
+    edges = star(1, 10_000, 50.0) + ring(2, [(-60, -60), (60, -60), (60, 60), (-60, 60)])
+    rng = random.Random(4)
+    points = [(i, 0, rng.uniform(-1, 1) * 10.0 ** rng.randint(-3, 1), rng.uniform(-1, 1) * 10.0 ** rng.randint(-3, 1)) for i in range(60)]
+    e, p = spark.createDataFrame(edges, EDGES), spark.createDataFrame(points, POINTS)
+    leaves, tree, depth = spatial.quadtree(e, ("poly_id",), 128.0, len(edges), 256)
+    assert tree is not None and depth > 3
+    size = leaves.where(F.size("edges") > 0).agg(F.sum(F.size("edges")), F.max(F.size("edges")), F.count("*")).first()
+    assert size[1] <= 256
+    assert leaves.groupBy("poly_id", "level", "bx", "by").count().where("count > 1").isEmpty()
+    got = spatial.spatial_inner_join(p, e, ("poly_id",), cell=128.0, cell_edges=256)
+    assert {(r["row_id"], r["col_id"], r["poly_id"]) for r in got.collect()} == brute_force(points, edges)
+
+
+def test_edges_that_all_meet_end_the_splitting(spark):
+    fan = [(i, *map(float, e)) for i in range(40) for e in [(0, 0, 8, i), (8, i, 8, i + 1), (8, i + 1, 0, 0)]]
+    points = lattice(12, 0.75, -0.5) + [(99, 0, 0.0, 0.0), (99, 1, 1e-7, 1e-7)]
+    e, p = spark.createDataFrame(fan, EDGES), spark.createDataFrame(points, POINTS)
+    got = spatial.spatial_inner_join(p, e, ("poly_id",), cell=16.0, cell_edges=8)
+    assert {(r["row_id"], r["col_id"], r["poly_id"]) for r in got.collect()} == brute_force(points, fan)
+
+
+def test_one_join_also_where_cells_are_split(spark):
+    e = spark.createDataFrame(random_layer(9), EDGES)
+    p = spark.createDataFrame(lattice(37), POINTS).withColumn("band", F.lit(1.0))
+    plan = plan_of(spatial.mask_by_polygons(p, e, ["band"], ("poly_id",), cell=16.0, cell_edges=8))
+    assert plan.count("Scan ExistingRDD") == 1
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_hole_overlap_and_boundary(spark):
     outer = ring(1, [(0, 0), (10, 0), (10, 10), (0, 10)])
     hole = ring(1, [(3, 3), (6, 3), (6, 6), (3, 6)])

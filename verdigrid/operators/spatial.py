@@ -3,17 +3,21 @@
 Polygons are edge rows ``(<polygon columns>, x1, y1, x2, y2)`` of closed rings, so a polygon of any
 size is spread over many rows. Boundary points count as inside; holes follow from the even-odd rule.
 
-The join works on an index of square cells, one row per polygon and cell it touches or covers:
+The join works on a quadtree over the layer: square cells that are split in four while more than
+``CELL_EDGES`` edges pass through them. Its leaves are the index, one row per polygon and leaf it
+touches or covers:
 
 * ``base`` is the parity that holds for the whole cell, and ``edges`` are the edges that pass through
-  it. A point only tests the edges of its own cell; a cell that lies inside needs no test at all.
+  it. A point only tests the edges of its own leaf; a leaf that lies inside needs no test at all.
 * For a point in a cell with right border X, the ray to the right is cut at X. Beyond X the parity
   depends only on edges with exactly one end right of X (all others pair up at shared vertices): such
   an edge adds 1 to points below the place where it meets X. If that place is in another row of cells
   the edge is constant for this cell and is summed into ``base``; else the edge carries ``y_right``, the
   height of its right end, and the test decides (``functions.geometry.inside_cell``).
-* The cell size is a power of two, so cell numbers and borders are exact in floating point. It follows
-  from the layer itself so that the index has a row count linear in the number of edges.
+* The size of the undivided cells is a power of two, so cell numbers and borders are exact in floating
+  point. It follows from the layer itself so that the index has a row count linear in the number of edges.
+* A point finds its leaf by one look at the tree of its undivided cell, a list of the cells that are
+  split. So it meets the index in one equi-join, whatever the layer; no key of the points is needed.
 """
 
 from __future__ import annotations
@@ -25,15 +29,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from verdigrid.functions import affine
-from verdigrid.functions.geometry import crosses_right, inside_cell, on_edge, ring_edges
+from verdigrid.functions.geometry import inside_cell, ring_edges
 from verdigrid.meta import GridMeta, require_same_crs
-from verdigrid.operators.bands import PIXEL_KEY
 from verdigrid.operators.grid import bounds_of, crop_to_extent, layer_bounds
-from verdigrid.session import broadcast_within, within
+from verdigrid.session import broadcast_within, materialise
 
 EDGE = ("x1", "y1", "x2", "y2")
-BROADCAST_EDGES = 100_000  # about 16 index entries per edge at most, see ``index_size``: below 100 MB
-MAX_CELL_EDGES = 4_096
+BROADCAST_EDGES = 100_000  # about 16 index entries per edge at most, see ``layer_summary``: below 100 MB
+#: Cells with more edges are split in four.
+CELL_EDGES = 512
+#: Times that a cell is split at most, and the least size: what is still crowded then is a point where many edges meet.
+DEPTH = 16
+LEAST_CELL = 2.0**-20
 #: Index rows per edge that the own choice of the cell size stays below.
 INDEX_ROWS = 16
 SALTS = 8
@@ -51,8 +58,8 @@ def edges_of_polygons(features: DataFrame, rings: str = "rings") -> DataFrame:
 # ---------------------------------------------------------------- index
 
 
-def index_size(edges: DataFrame, polygon: Sequence[str]) -> tuple[int, float]:
-    """Number of edges and the cell size (a power of two) for a polygon layer.
+def layer_summary(edges: DataFrame, polygon: Sequence[str]) -> tuple[int, float, tuple[float, float, float, float] | None]:
+    """Number of edges, cell size (a power of two) and bounds of a polygon layer, read once.
 
     The size is the larger of two bounds: about four cells per edge over the polygons' bounding
     boxes, and cells no smaller than an eighth of the mean edge extent. Both keep the index linear.
@@ -60,25 +67,31 @@ def index_size(edges: DataFrame, polygon: Sequence[str]) -> tuple[int, float]:
     boxes = edges.groupBy(*polygon).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.abs(F.col("x2") - F.col("x1")) + F.abs(F.col("y2") - F.col("y1"))).alias("reach"),
-        (
-            (F.max(F.greatest("x1", "x2")) - F.min(F.least("x1", "x2")))
-            * (F.max(F.greatest("y1", "y2")) - F.min(F.least("y1", "y2")))
-        ).alias("area"),
+        F.min(F.least("x1", "x2")).alias("left"), F.min(F.least("y1", "y2")).alias("bottom"),
+        F.max(F.greatest("x1", "x2")).alias("right"), F.max(F.greatest("y1", "y2")).alias("top"),
     )
-    row = boxes.agg(F.sum("n").alias("n"), F.sum("reach").alias("r"), F.sum("area").alias("a")).first()
+    area = (F.col("right") - F.col("left")) * (F.col("top") - F.col("bottom"))
+    row = boxes.agg(
+        F.sum("n").alias("n"), F.sum("reach").alias("r"), F.sum(area).alias("a"),
+        F.min("left").alias("left"), F.min("bottom").alias("bottom"), F.max("right").alias("right"), F.max("top").alias("top"),
+    ).first()
     n = row["n"] or 0
     if n == 0:
-        return 0, 1.0
+        return 0, 1.0, None
     wanted = max(math.sqrt(row["a"] / (4.0 * n)), row["r"] / (8.0 * n), 2.0**-10)
-    return n, 2.0 ** math.ceil(math.log2(wanted))
+    return n, 2.0 ** math.ceil(math.log2(wanted)), (row["left"], row["bottom"], row["right"], row["top"])
 
 
 def _cell_number(value, cell: float):
     return F.floor(value / F.lit(cell)).cast("long")
 
 
-def _near_edges(edges: DataFrame, polygon: Sequence[str], cell: float) -> DataFrame:
-    """One row per edge and index cell it passes through (closed, with a hair of slack)."""
+def _near_edges(edges: DataFrame, polygon: Sequence[str], cell: float, columns: DataFrame | None = None) -> DataFrame:
+    """One row per edge and index cell it passes through (closed, with a hair of slack).
+
+    With ``columns (bx, rows)`` only the cells in the listed rows of the listed columns, and of every edge in such a column the
+    first cell, which shapes the parity of the cells below.
+    """
     lo_x, hi_x = F.least("x1", "x2"), F.greatest("x1", "x2")
     lo_y, hi_y = F.least("y1", "y2"), F.greatest("y1", "y2")
     by_col = edges.select(
@@ -89,6 +102,8 @@ def _near_edges(edges: DataFrame, polygon: Sequence[str], cell: float) -> DataFr
             )
         ).alias("bx"),
     )
+    if columns is not None:
+        by_col = by_col.join(columns, "bx")
     left, right = F.col("bx") * F.lit(cell), (F.col("bx") + F.lit(1)) * F.lit(cell)
 
     def height_at(border):
@@ -105,7 +120,12 @@ def _near_edges(edges: DataFrame, polygon: Sequence[str], cell: float) -> DataFr
             "_first": _cell_number(F.greatest(F.least(y_a, y_b), lo_y) - slack, cell),
             "_last": _cell_number(F.least(F.greatest(y_a, y_b), hi_y) + slack, cell),
         }
-    ).withColumn("by", F.explode(F.sequence("_first", "_last")))
+    )
+    if columns is None:
+        by_row = by_row.withColumn("by", F.explode(F.sequence("_first", "_last")))
+    else:
+        passed = F.filter("rows", lambda r: r.between(F.col("_first"), F.col("_last")))
+        by_row = by_row.withColumn("by", F.explode(F.array_union(F.array("_first"), passed)))
     return by_row.select(
         *polygon, "bx", "by", *EDGE,
         F.when(F.col("_mixed"), F.when(F.col("x1") > right, F.col("y1")).otherwise(F.col("y2"))).alias("y_right"),
@@ -113,41 +133,94 @@ def _near_edges(edges: DataFrame, polygon: Sequence[str], cell: float) -> DataFr
     )
 
 
-def _with_parity(grouped: DataFrame, polygon: Sequence[str]) -> DataFrame:
-    """Add ``base`` and the rows below (``_below`` array) that lie inside up to the next listed cell.
+def _leaves(near: DataFrame, polygon: Sequence[str], crowded: DataFrame | None, columns: DataFrame | None) -> DataFrame:
+    """Rows ``(<polygon>, bx, by, base, edges)`` of one level: the cells a polygon touches or covers that are not split further.
 
-    The window holds the cells of one column of one polygon, bounded by the cell size rule.
+    ``base`` of a cell is the parity of the edges that start above it in its column; cells between two listed ones have that of the upper. The
+    window holds the cells of one column of one polygon, bounded by the cell size rule.
     """
+    listed = near
+    own = F.lit(True)
+    if columns is not None:
+        listed = listed.join(columns, "bx")
+        own = own & F.array_contains("rows", F.col("by"))
+    if crowded is not None:
+        listed = listed.join(crowded.withColumn("_split", F.lit(True)), ["bx", "by"], "left")
+        own = own & F.col("_split").isNull()
+    rows = [F.first("rows").alias("rows")] if columns is not None else []
+    listed = listed.withColumn("_own", own)
+    grouped = listed.groupBy(*polygon, "bx", "by").agg(
+        F.collect_list(F.when(F.col("_own"), F.struct(*EDGE, "y_right"))).alias("edges"),
+        F.sum("_starts").alias("_starts"), F.first("_own").alias("_own"), *rows,
+    )
     column = Window.partitionBy(*polygon, "bx").orderBy(F.desc("by"))
     above = F.coalesce(F.sum("_starts").over(column.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    below = F.lead("by").over(column)
-    return (
-        grouped.withColumns({"_above": above, "_next": below})
-        .withColumn("base", F.col("_above") % 2 == 1)
-        .withColumn(
-            "_below",
-            F.when(
-                ((F.col("_above") + F.col("_starts")) % 2 == 1) & (F.col("_next") + 1 < F.col("by")),
-                F.sequence(F.col("_next") + 1, F.col("by") - 1),
-            ),
-        )
-    )
-
-
-def cell_index(edges: DataFrame, polygon: Sequence[str], cell: float) -> DataFrame:
-    """Rows ``(<polygon>, bx, by, base, edges)``: the cells a polygon touches or covers."""
-    near = _near_edges(edges, polygon, cell)
-    grouped = near.groupBy(*polygon, "bx", "by").agg(
-        F.collect_list(F.struct(*EDGE, "y_right")).alias("edges"), F.sum("_starts").alias("_starts")
-    )
-    full = _with_parity(grouped, polygon)
-    own = F.struct(F.col("by").alias("by"), F.col("base").alias("base"), F.col("edges").alias("edges"))
+    full = grouped.withColumns({"_above": above, "_next": F.lead("by").over(column)})
+    gap = (F.col("_above") + F.col("_starts")) % 2 == 1
+    if columns is None:
+        below = F.when(gap & (F.col("_next") + 1 < F.col("by")), F.sequence(F.col("_next") + 1, F.col("by") - 1))
+    else:
+        below = F.when(gap, F.filter("rows", lambda r: (r > F.col("_next")) & (r < F.col("by"))))
     nothing = F.filter(F.col("edges"), lambda e: F.lit(False))
+    mine = F.struct(F.col("by").alias("by"), (F.col("_above") % 2 == 1).alias("base"), F.col("edges").alias("edges"))
+    touched = F.filter(F.array(mine), lambda e: F.col("_own"))
     covered = F.transform(
-        F.coalesce(F.col("_below"), F.expr("array_repeat(0L, 0)")),
+        F.coalesce(below, F.expr("array_repeat(0L, 0)")),
         lambda r: F.struct(r.alias("by"), F.lit(True).alias("base"), nothing.alias("edges")),
     )
-    return full.select(*polygon, "bx", F.inline(F.concat(F.array(own), covered)))
+    leaves = full.select(*polygon, "bx", F.inline(F.concat(touched, covered)))
+    return leaves if crowded is None else leaves.join(crowded, ["bx", "by"], "left_anti").select(*leaves.columns)
+
+
+def quadtree(
+    edges: DataFrame, polygon: Sequence[str], cell: float, n_edges: int, cell_edges: int = CELL_EDGES
+) -> tuple[DataFrame, DataFrame | None, int]:
+    """The leaves ``(<polygon>, level, bx, by, base, edges)``, the split cells as ``(bx, by, tree)`` and the depth.
+
+    ``level`` 0 are cells of size ``cell``; each level halves it. Only the columns of cells that are split are looked at again, in the rows of these
+    cells. ``tree`` lists the codes (``_code``) of all split cells within an undivided one. Without a crowded cell there is no tree.
+    """
+    near, columns, leaves, splits, level = _near_edges(edges, polygon, cell), None, [], [], 0
+    while True:
+        crowded = None
+        if n_edges > cell_edges and level < DEPTH and cell / 2 >= LEAST_CELL:
+            inside = near if columns is None else near.join(columns, "bx").where(F.array_contains("rows", F.col("by")))
+            counts = inside.groupBy("bx", "by").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > cell_edges)
+            crowded = materialise(counts.select("bx", "by"), "crowded-cells")
+            n_crowded = crowded.count()
+            small = F.broadcast if n_crowded <= BROADCAST_EDGES else lambda df: df  # also bounds what follows from it: two columns, four rows each
+            crowded = small(crowded) if n_crowded else None
+        leaves.append(_leaves(near, polygon, crowded, columns).select(*polygon, F.lit(level).alias("level"), "bx", "by", "base", "edges"))
+        if crowded is None:
+            break
+        splits.append(crowded.select(F.lit(level).alias("level"), "bx", "by"))
+        halves = F.array(F.col("by") * 2, F.col("by") * 2 + 1)
+        parents = crowded.groupBy("bx").agg(F.flatten(F.collect_list(halves)).alias("rows"))
+        columns = parents.select(F.explode(F.array(F.col("bx") * 2, F.col("bx") * 2 + 1)).alias("bx"), "rows")
+        columns = small(columns)
+        cell, level = cell / 2, level + 1
+        near = _near_edges(edges, polygon, cell, columns)
+    index = leaves[0]
+    for more in leaves[1:]:
+        index = index.unionByName(more)
+    if not splits:
+        return index, None, 0
+    cells = splits[0]
+    for more in splits[1:]:
+        cells = cells.unionByName(more)
+    root = [F.call_function("shiftright", F.col(c), F.col("level")) for c in ("bx", "by")]
+    code = _code(F.col("level"), F.col("bx"), F.col("by"), *root)
+    tree = cells.select(root[0].alias("_rx"), root[1].alias("_ry"), code.alias("_node")).groupBy("_rx", "_ry").agg(F.collect_list("_node").alias("_tree"))
+    return materialise(index, "quadtree"), tree, level
+
+
+def _code(level, bx, by, rx, ry):
+    """A number for a cell within its undivided cell ``(rx, ry)``: a leading one, then its column and row there."""
+    def moved(value, bits):
+        return F.call_function("shiftleft", value, bits)
+
+    one = F.lit(1).cast("long")
+    return moved(one, 2 * level) + moved(bx - moved(rx, level), level) + (by - moved(ry, level))
 
 
 # ---------------------------------------------------------------- join
@@ -158,24 +231,51 @@ def _within(bounds: tuple[float, float, float, float], x: str, y: str):
     return F.col(x).between(bounds[0], bounds[2]) & F.col(y).between(bounds[1], bounds[3])
 
 
-def _matched(points: DataFrame, index: DataFrame, how: str, small: bool, key, x: str, y: str) -> DataFrame:
-    """Equi-join of points and index on the cell, with the exact test as further condition."""
-    on = (F.col("_px") == F.col("bx")) & (F.col("_py") == F.col("by"))
+def _located(points: DataFrame, tree: DataFrame | None, depth: int, cell: float, x: str, y: str) -> DataFrame:
+    """``points`` with the leaf ``_pl, _px, _py`` each lies in. Without split cells nothing is joined."""
+    points = points.withColumns({"_px": _cell_number(F.col(x), cell), "_py": _cell_number(F.col(y), cell)})
+    if tree is None:
+        return points.withColumn("_pl", F.lit(0))
+    points = points.join(broadcast_within(tree), (F.col("_px") == F.col("_rx")) & (F.col("_py") == F.col("_ry")), "left")
+    level = F.lit(0)
+    for deep in range(depth):
+        part = cell / 2**deep
+        code = _code(F.lit(deep), _cell_number(F.col(x), part), _cell_number(F.col(y), part), F.col("_px"), F.col("_py"))
+        level = level + F.array_contains("_tree", code).cast("int")
+    size = F.lit(cell) / F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_pl"))
+    return points.withColumn("_pl", F.coalesce(level, F.lit(0))).withColumns(
+        {"_px": F.floor(F.col(x) / size).cast("long"), "_py": F.floor(F.col(y) / size).cast("long")}
+    ).drop("_rx", "_ry", "_tree")
+
+
+def _matched(points: DataFrame, index: DataFrame, how: str, small: bool, test, x: str, y: str) -> DataFrame:
+    """Equi-join of points and index on the leaf, with ``test`` as further condition.
+
+    Unless the index is small the points of a leaf are spread over several tasks by their coordinates.
+    """
+    on = (F.col("_pl") == F.col("level")) & (F.col("_px") == F.col("bx")) & (F.col("_py") == F.col("by"))
     if small:
         index = F.broadcast(index)
     else:
-        points, index = _salted(points, index, key)
+        points = points.withColumn("_salt", F.pmod(F.xxhash64(x, y), F.lit(SALTS)).cast("int"))
+        index = index.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         on = on & (F.col("_salt") == F.col("_slot"))
-    on = on & inside_cell(F.col("base"), F.col("edges"), F.col(x), F.col(y))
-    return points.join(index, on, how)
+    return points.join(index, on if test is None else on & test, how)
 
 
-def _salted(points: DataFrame, index: DataFrame, key) -> tuple[DataFrame, DataFrame]:
-    """Spread the points of a crowded cell over several tasks; the index is the small side."""
-    return (
-        points.withColumn("_salt", F.pmod(F.xxhash64(*key), F.lit(SALTS)).cast("int")),
-        index.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))),
-    )
+class _Index:
+    """The quadtree of a layer, and whether it may be broadcast."""
+
+    def __init__(self, edges: DataFrame, polygon: Sequence[str], cell: float | None, broadcast_edges: int, cell_edges: int):
+        n_edges, size, self.bounds = layer_summary(edges, polygon)
+        self.cell = float(cell) if cell else size
+        if math.log2(self.cell) != int(math.log2(self.cell)):
+            raise ValueError("the index cell size must be a power of two")
+        self.leaves, self.tree, self.depth = quadtree(edges, polygon, self.cell, n_edges, cell_edges)
+        self.small = n_edges <= broadcast_edges
+        if self.small and (cell or self.tree is not None):  # then the edge count alone sets no bound
+            held = self.leaves.limit(INDEX_ROWS * max(n_edges, 64) + 1).agg(F.count(F.lit(1)), F.sum(F.size("edges"))).first()
+            self.small = held[0] + (held[1] or 0) <= INDEX_ROWS * max(broadcast_edges, 64)
 
 
 def containment(
@@ -183,108 +283,30 @@ def containment(
     edges: DataFrame,
     polygon: Sequence[str] = ("district_id",),
     how: str = "inner",
-    key: Sequence[str] = PIXEL_KEY,
     x: str = "x",
     y: str = "y",
     cell: float | None = None,
-    max_cell_edges: int = MAX_CELL_EDGES,
     broadcast_edges: int = BROADCAST_EDGES,
+    cell_edges: int = CELL_EDGES,
 ) -> DataFrame:
     """Join points to the polygons that contain them.
 
     ``how``: ``inner`` gives a row per pair with the polygon columns, ``left_semi`` the points inside
-    any polygon (each once), ``left_anti`` the points outside all of them.
+    any polygon (each once), ``left_anti`` the points outside all of them. Repeated points are points
+    of their own. One equi-join on the leaf of the quadtree at any size of the layer.
 
     The index is broadcast only if the edge count, read beforehand, bounds its size; otherwise both
-    sides are shuffled by cell and salted. Where one polygon has more than ``max_cell_edges`` edges
-    in one cell, these are not gathered into one row: they join one by one and the parity is counted
-    per point and polygon.
+    sides are shuffled by leaf, and points of one leaf are spread by their coordinates.
     """
     if how not in ("inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
-    columns = points.columns
-    n_edges, size = index_size(edges, polygon)
-    size = float(cell) if cell else size
-    if math.log2(size) != int(math.log2(size)):
-        raise ValueError("the index cell size must be a power of two")
-    small = n_edges <= broadcast_edges
-    if small and cell:  # a given cell size voids the bound that the edge count sets
-        small = within(cell_index(edges, polygon, size).select("bx", "by"), INDEX_ROWS * max(n_edges, 64))
-    if how != "left_anti" and n_edges:
-        points = points.filter(_within(bounds_of(layer_bounds(edges)), x, y))
-    keyed = points.withColumns({"_px": _cell_number(F.col(x), size), "_py": _cell_number(F.col(y), size)})
-    keep = [*columns, *polygon] if how == "inner" else columns
-
-    hot = None
-    if n_edges > max_cell_edges:
-        near = _near_edges(edges, polygon, size)
-        counts = near.groupBy(*polygon, "bx", "by").agg(
-            F.count(F.lit(1)).alias("_n"), F.sum("_starts").alias("_starts")
-        )
-        if not counts.filter(F.col("_n") > max_cell_edges).isEmpty():
-            hot = _crowded_pairs(keyed, near, counts, polygon, key, x, y, max_cell_edges)
-            near = near.join(
-                counts.filter(F.col("_n") > max_cell_edges).select(*polygon, "bx", "by"),
-                [*polygon, "bx", "by"], "left_anti",
-            )
-            index = _index_without_crowded(near, counts, polygon, max_cell_edges)
-    if hot is None:
-        index = cell_index(edges, polygon, size)
-    plain = _matched(keyed, index, how, small, key, x, y).select(*keep)
-    if hot is None:
-        return plain
-    if how == "inner":
-        return plain.unionByName(points.join(hot, list(key)).select(*keep))
-    hit = hot.select(*key).distinct()
-    if how == "left_anti":
-        return plain.join(hit, list(key), "left_anti").select(*keep)
-    rest = _matched(keyed, index, "left_anti", small, key, x, y).select(*columns)
-    return plain.unionByName(rest.join(hit, list(key), "left_semi").select(*columns))
-
-
-def _index_without_crowded(near: DataFrame, counts: DataFrame, polygon, max_cell_edges: int) -> DataFrame:
-    """The index for all cells but the crowded ones, whose starts still shape the parity."""
-    cells = near.groupBy(*polygon, "bx", "by").agg(F.collect_list(F.struct(*EDGE, "y_right")).alias("edges"))
-    full = _with_parity(counts, polygon).join(cells, [*polygon, "bx", "by"], "left")
-    nothing = F.filter(
-        F.coalesce(F.col("edges"), F.array(F.struct(*[F.lit(None).cast("double").alias(c) for c in (*EDGE, "y_right")]))),
-        lambda e: F.lit(False),
-    )
-    own = F.when(
-        F.col("_n") <= max_cell_edges,
-        F.array(F.struct(F.col("by").alias("by"), F.col("base").alias("base"), F.col("edges").alias("edges"))),
-    )
-    covered = F.transform(
-        F.col("_below"), lambda r: F.struct(r.alias("by"), F.lit(True).alias("base"), nothing.alias("edges"))
-    )
-    parts = F.filter(F.array(own, covered), lambda a: a.isNotNull())
-    return full.select(*polygon, "bx", F.inline(F.flatten(parts)))
-
-
-def _crowded_pairs(keyed, near, counts, polygon, key, x: str, y: str, max_cell_edges: int) -> DataFrame:
-    """(point key, polygon) pairs of the cells whose edges are too many for one row."""
-    parity = _with_parity(counts, polygon).filter(F.col("_n") > max_cell_edges)
-    cells = parity.select(*polygon, "bx", "by", "base")
-    tested = (
-        near.select(*polygon, "bx", "by", *EDGE, "y_right")
-        .join(cells, [*polygon, "bx", "by"])
-        .withColumnsRenamed({c: f"_e_{c}" for c in (*EDGE, "y_right")})
-    )
-    points = keyed.select(*key, F.col(x).alias("_x"), F.col(y).alias("_y"), "_px", "_py")
-    e = {c: F.col(f"_e_{c}") for c in (*EDGE, "y_right")}
-    ends = (e["x1"], e["y1"], e["x2"], e["y2"], F.col("_x"), F.col("_y"))
-    flips = crosses_right(*ends) != F.coalesce(e["y_right"] > F.col("_y"), F.lit(False))
-    points, tested = _salted(points, tested, key)
-    joined = points.join(
-        tested,
-        (F.col("_px") == F.col("bx")) & (F.col("_py") == F.col("by")) & (F.col("_salt") == F.col("_slot")),
-    )
-    return (
-        joined.groupBy(*key, *polygon, "base")
-        .agg(F.sum(flips.cast("long")).alias("_flips"), F.max(on_edge(*ends)).alias("_touch"))
-        .filter((F.col("base") != (F.col("_flips") % 2 == 1)) | F.col("_touch"))
-        .select(*key, *polygon)
-    )
+    index = _Index(edges, polygon, cell, broadcast_edges, cell_edges)
+    keep = [*points.columns, *polygon] if how == "inner" else points.columns
+    if how != "left_anti" and index.bounds:
+        points = points.filter(_within(index.bounds, x, y))
+    located = _located(points, index.tree, index.depth, index.cell, x, y)
+    test = inside_cell(F.col("base"), F.col("edges"), F.col(x), F.col(y))
+    return _matched(located, index.leaves, how, index.small, test, x, y).select(*keep)
 
 
 # ---------------------------------------------------------------- operators
@@ -311,20 +333,14 @@ def clip_points(
 
 
 def mask_by_polygons(
-    df: DataFrame, edges: DataFrame, bands: Sequence[str], polygon=("district_id",), **options
+    df: DataFrame, edges: DataFrame, bands: Sequence[str], polygon=("district_id",), x: str = "x", y: str = "y",
+    cell: float | None = None, broadcast_edges: int = BROADCAST_EDGES, cell_edges: int = CELL_EDGES,
 ) -> DataFrame:
-    """All rows stay; bands of pixels whose centre is outside every polygon become null."""
-    x, y = options.get("x", "x"), options.get("y", "y")
-    empty = {b: F.lit(None).cast(df.schema[b].dataType) for b in bands}
-    n_edges, size = index_size(edges, polygon)
-    if "cell" in options or n_edges > min(options.get("max_cell_edges", MAX_CELL_EDGES), options.get("broadcast_edges", BROADCAST_EDGES)):
-        inside = containment(df, edges, polygon, "left_semi", **options)
-        outside = containment(df, edges, polygon, "left_anti", **options)
-        return inside.unionByName(outside.withColumns(empty))
-    # few edges: one index row per cell holds the tests of all polygons, and one left join settles every pixel
-    tests = cell_index(edges, polygon, size).groupBy("bx", "by").agg(F.collect_list(F.struct("base", "edges")).alias("_tests"))
-    keyed = df.withColumns({"_px": _cell_number(F.col(x), size), "_py": _cell_number(F.col(y), size)})
-    joined = keyed.join(F.broadcast(tests), (F.col("_px") == F.col("bx")) & (F.col("_py") == F.col("by")), "left")
+    """All rows stay; bands of pixels whose centre is outside every polygon become null. One join at any size of the layer."""
+    index = _Index(edges, polygon, cell, broadcast_edges, cell_edges)
+    # one row per leaf holds the tests of all polygons, so one left join settles every pixel
+    tests = index.leaves.groupBy("level", "bx", "by").agg(F.collect_list(F.struct("base", "edges")).alias("_tests"))
+    joined = _matched(_located(df, index.tree, index.depth, index.cell, x, y), tests, "left", index.small, None, x, y)
     inside = F.coalesce(F.exists("_tests", lambda t: inside_cell(t["base"], t["edges"], F.col(x), F.col(y))), F.lit(False))
     return joined.select(*[F.when(inside, F.col(c)).alias(c) if c in bands else F.col(c) for c in df.columns])
 

@@ -80,10 +80,3 @@ def export_image(
     window, cropped = crop_to_extent(df, meta, bounds)
     write_pixels(window, cropped, path, mode)
     return cropped
-
-
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write once to the shared scratch folder and read back, for steps that read a frame many times."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
