@@ -2,6 +2,10 @@
 
 import json
 import math
+import os
+import re
+import subprocess
+import sys
 
 import numpy as np
 import pandas as pd
@@ -256,8 +260,9 @@ def test_unknown_crs_raises():
 # ------------------------------------------------------------ gaps
 
 
-@pytest.mark.parametrize("block", [2, 3, 64])
-def test_interpolation_equals_pandas(spark, block):
+@pytest.mark.parametrize("block,group", [(2, 256), (3, 1), (3, 2), (64, 4)])
+def test_interpolation_equals_pandas(spark, monkeypatch, block, group):
+    monkeypatch.setattr(gaps, "GROUP", group)
     rng = np.random.default_rng(block)
     rows = [(r, c, None if rng.random() < 0.5 else float(rng.random())) for r in range(9) for c in range(7) if rng.random() < 0.8]
     rows = [(r, c, None if r == 0 or r == 8 else v) for r, c, v in rows]
@@ -276,11 +281,17 @@ def test_interpolation_by_row_does_not_cross_rows(spark):
     assert got == [[1.0, 2.0, 3.0], [None, 5.0, 5.0]]
 
 
-def test_only_the_group_summary_meets_in_one_task(spark):
+def test_source_is_read_once_and_only_the_group_summary_meets_in_one_task(spark, monkeypatch):
     df = raster(spark, [[1.0, None], [3.0, 4.0]])
-    lines = plan_of(gaps.interpolate_linear(df, ["v"], 2).select("v")).splitlines()
-    single = [i for i, line in enumerate(lines) if "SinglePartition" in line]
-    assert len(single) == 1 and "Aggregate(key=[0" in lines[single[0] + 1] and "_g#" in lines[single[0] + 1]
+    plans, real = [], gaps.materialise
+    monkeypatch.setattr(gaps, "materialise", lambda frame, label: (plans.append(plan_of(frame)), real(frame, label))[1])
+    last = plan_of(gaps.interpolate_linear(df, ["v"]).select("v"))
+    placed, carried = plans
+    assert placed.count("Scan ExistingRDD") == 1 and placed.count("Exchange") == 1
+    assert "ExistingRDD" not in carried + last and "SinglePartition" not in placed + last
+    lines = carried.splitlines()
+    single = [i for i, line in enumerate(lines) if re.search(r"hashpartitioning\(_line#\d+L?, \d+\)", line)]
+    assert len(single) == 1 and re.search(r"Aggregate\(keys?=\[_line#\d+L?, _g#", lines[single[0] + 1])
 
 
 # ------------------------------------------------------------ regression
@@ -400,3 +411,31 @@ def test_newest_model_wins(spark, tmp_path):
     models.save_model(spark, one, str(tmp_path / "m"), "2024-01-01")
     assert models.load_model(spark, str(tmp_path / "m")) == two
     assert models.load_model(spark, str(tmp_path / "m"), "2024-01-01") == one
+
+
+def test_features_that_share_an_id_lose_nothing(spark, tmp_path):
+    square = lambda x: [[[x, 0.0], [x + 1, 0.0], [x + 1, 1.0], [x, 1.0], [x, 0.0]]]
+    feature = lambda i, x: json.dumps({"type": "Feature", "id": i, "properties": {"name": "n"}, "geometry": {"type": "Polygon", "coordinates": square(x)}})
+    (tmp_path / "same.jsonl").write_text("\n".join([feature("7", 0.0), feature("7", 5.0), feature("7", 0.0), feature("8", 9.0)]))
+    edges = features.scan_edges(spark, f"{tmp_path}/same.jsonl", "name string", line_delimited=True)
+    assert edges.count() == 12 and edges.select("feature_id").distinct().count() == 3
+    points = spark.createDataFrame([(0.5, 0.5), (5.5, 0.5), (9.5, 0.5), (3.0, 0.5)], "x double, y double")
+    assert spatial.spatial_inner_join(points, edges, ("feature_id",)).count() == 3
+
+
+PERIOD = """
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+from verdigrid.operators import series
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+for kind in ("timestamp", "timestamp_ntz"):
+    rows = spark.sql("SELECT CAST(t AS " + kind + ") AS reference_time FROM VALUES ('2012-12-31 23:30:00'), ('2013-01-01 00:00:00') v(t)")
+    assert [str(r[0]) for r in series.observation_period(rows).selectExpr("CAST(reference_time AS string)").collect()] == ["2013-01-01 00:00:00"], kind
+"""
+
+
+def test_period_starts_in_the_session_zone(tmp_path):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", PERIOD.format(root=root)], env={**os.environ, "TZ": "Europe/Oslo"}, cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]

@@ -7,60 +7,64 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from verdigrid.session import broadcast_within, materialise
+
 GAP_BANDS = ("dtm", "fraction_grass", "fraction_cropland", "fraction_built", "fraction_water")
-BLOCK = 1 << 12  # a block fits the in-memory buffer of the window operator
+#: Columns of a raster row that make a block; it fits the in-memory buffer of the window operator.
+BLOCK = 1 << 12
+#: Raster rows, or with ``by_row`` blocks of one row, whose summaries meet in one task.
+GROUP = 1 << 8
+
+
+def _blocks(df: DataFrame, by_row: bool, block: int) -> DataFrame:
+    """``df`` with its line, group and block numbers: a block is a run of ``block`` columns of one raster row.
+
+    Blocks are in order within a group, groups within a line, and no width of the raster has to be known.
+    """
+    row, piece = F.col("row_id").cast("long"), F.floor(F.col("col_id") / F.lit(block)).cast("long")
+    if by_row:
+        return df.withColumns({"_line": row, "_g": F.floor(piece / F.lit(GROUP)).cast("long"), "_b": piece})
+    return df.withColumns({"_line": F.lit(0).cast("long"), "_g": F.floor(row / F.lit(GROUP)).cast("long"), "_b": row * F.lit(1 << 32) + piece})
 
 
 def interpolate_linear(
-    df: DataFrame, bands: Sequence[str] = GAP_BANDS, width: int | None = None,
-    by_row: bool = False, block: int = BLOCK,
+    df: DataFrame, bands: Sequence[str] = GAP_BANDS, by_row: bool = False, block: int = BLOCK,
 ) -> DataFrame:
     """Linear interpolation by position in row-major order over the whole table.
 
     A leading gap stays missing, a trailing gap repeats the last value. Positions count the rows that
     exist, not column numbers. ``by_row`` restarts at each raster row.
 
-    The order is cut into blocks of ``block`` consecutive pixel numbers (``row * width + column``), so a
-    task never holds more than ``block`` rows however long a raster row is. One summary row per block
-    (count, first and last valid position and value per band) carries over block borders, itself in
-    groups of ``block`` blocks; only the summary of those groups, one row per ``block ** 2`` pixels, is
-    ordered in a single task.
+    A prefix scan in two phases. The source is read once: dealt by block, each row gets its place within
+    the block and a missing value the nearest valid points there, and this is stored. One summary row per
+    block (rows, first and last valid point per band), taken from the stored rows, is then carried over block
+    borders in groups of ``GROUP`` raster rows, and a summary of those groups, one row each, in a single task.
+    Last, the stored rows meet the carried points of their block.
     """
     columns = df.columns
-    if width is None:
-        width = (df.agg(F.max("col_id")).first()[0] or 0) + 1
-    line = [F.col("row_id")] if by_row else [F.lit(0)]
-    number = F.col("col_id").cast("long") if by_row else (
-        F.col("row_id").cast("long") * F.lit(int(width)) + F.col("col_id").cast("long")
-    )
-    cells = df.withColumns({"_n": number, "_line": line[0].cast("long")}).withColumn(
-        "_b", F.floor(F.col("_n") / F.lit(block)).cast("long")
-    )
-    cells = cells.withColumns({b: F.nanvl(b, F.lit(None).cast("double")) for b in bands})
-    inner = Window.partitionBy("_line", "_b").orderBy("_n")
+    cells = _blocks(df.withColumns({b: F.nanvl(b, F.lit(None).cast("double")) for b in bands}), by_row, block)
+    inner = Window.partitionBy("_line", "_b").orderBy("col_id")
     back = inner.rowsBetween(Window.unboundedPreceding, 0)
     # a growing frame in reverse order: a frame that ends at the partition's end costs rows squared
-    ahead = Window.partitionBy("_line", "_b").orderBy(F.desc("_n")).rowsBetween(Window.unboundedPreceding, 0)
+    ahead = Window.partitionBy("_line", "_b").orderBy(F.desc("col_id")).rowsBetween(Window.unboundedPreceding, 0)
     placed = cells.withColumn("_i", F.row_number().over(inner).cast("long"))
 
     def at(b: str) -> Column:
         return F.when(F.col(b).isNotNull(), F.struct(F.col("_i").alias("i"), F.col(b).alias("v")))
 
-    placed = placed.withColumns({f"_prev_{b}": F.last(at(b), ignorenulls=True).over(back) for b in bands})
-    placed = placed.withColumns({f"_next_{b}": F.last(at(b), ignorenulls=True).over(ahead) for b in bands})
-
-    summary = (
-        cells.select("_line", "_b", "_n", *bands)
-        .withColumn("_i", F.row_number().over(inner).cast("long"))
-        .groupBy("_line", "_b")
-        .agg(
-            F.count(F.lit(1)).alias("_rows"),
-            *[F.min(at(b)).alias(f"_first_{b}") for b in bands],
-            *[F.max(at(b)).alias(f"_last_{b}") for b in bands],
-        )
+    def near(b: str, frame) -> Column:
+        return F.when(F.col(b).isNull(), F.last(at(b), ignorenulls=True).over(frame))
+
+    placed = placed.withColumns({f"_prev_{b}": near(b, back) for b in bands})
+    placed = placed.withColumns({f"_next_{b}": near(b, ahead) for b in bands})
+    placed = materialise(placed, "placed")
+
+    summary = placed.groupBy("_line", "_g", "_b").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.min(at(b)).alias(f"_first_{b}") for b in bands],
+        *[F.max(at(b)).alias(f"_last_{b}") for b in bands],
     )
-    carried = _carry(summary, bands, block)
-    joined = placed.join(carried, ["_line", "_b"])
+    joined = placed.drop("_g").join(broadcast_within(materialise(_carry(summary, bands), "carried")), ["_line", "_b"])
 
     def filled(b: str) -> Column:
         here = F.col("_offset") + F.col("_i")
@@ -79,36 +83,27 @@ def interpolate_linear(
     return joined.select(*[filled(c) if c in bands else F.col(c) for c in columns])
 
 
-def row_index(df: DataFrame, name: str = "index", width: int | None = None, block: int = BLOCK) -> DataFrame:
-    """Dense row numbers from 0 in row-major order, with the same blocks and offsets."""
-    if width is None:
-        width = (df.agg(F.max("col_id")).first()[0] or 0) + 1
-    number = F.col("row_id").cast("long") * F.lit(int(width)) + F.col("col_id").cast("long")
-    cells = df.withColumns({"_n": number, "_line": F.lit(0).cast("long")}).withColumn(
-        "_b", F.floor(F.col("_n") / F.lit(block)).cast("long")
-    )
-    carried = _carry(cells.groupBy("_line", "_b").agg(F.count(F.lit(1)).alias("_rows")), (), block)
-    inner = Window.partitionBy("_line", "_b").orderBy("_n")
-    return (
-        cells.withColumn("_i", F.row_number().over(inner))
-        .join(carried, ["_line", "_b"])
-        .select(*df.columns, (F.col("_offset") + F.col("_i") - 1).alias(name))
-    )
+def row_index(df: DataFrame, name: str = "index", block: int = BLOCK) -> DataFrame:
+    """Dense row numbers from 0 in row-major order, by the same blocks; the source is read once."""
+    inner = Window.partitionBy("_line", "_b").orderBy("col_id")
+    placed = materialise(_blocks(df, False, block).withColumn("_i", F.row_number().over(inner)), "placed")
+    carried = _carry(placed.groupBy("_line", "_g", "_b").agg(F.count(F.lit(1)).alias("_rows")), ())
+    joined = placed.drop("_g").join(broadcast_within(materialise(carried, "carried")), ["_line", "_b"])
+    return joined.select(*df.columns, (F.col("_offset") + F.col("_i") - 1).alias(name))
 
 
-def _carry(summary: DataFrame, bands: Sequence[str], block: int) -> DataFrame:
+def _carry(summary: DataFrame, bands: Sequence[str]) -> DataFrame:
     """Per block: rows before it, last valid point before it and first valid point after it.
 
     Two levels of the same running window: over the groups of blocks, then inside each group.
     """
-    grouped = summary.withColumn("_g", F.floor(F.col("_b") / F.lit(block)).cast("long"))
-    local = _running(grouped, bands, ("_line", "_g"), "_b")
+    local = _running(summary, bands, ("_line", "_g"), "_b")
     groups = local.groupBy("_line", "_g").agg(
         F.sum("_rows").alias("_rows"),
         *[F.min(_shift(f"_first_{b}", "_offset")).alias(f"_first_{b}") for b in bands],
         *[F.max(_shift(f"_last_{b}", "_offset")).alias(f"_last_{b}") for b in bands],
     )
-    # the groups of one line: one row per block ** 2 pixels
+    # the groups of one line: one row per ``GROUP`` raster rows
     outer = _running(groups, bands, ("_line",), "_g").select(
         "_line", "_g", F.col("_offset").alias("_g_offset"),
         *[F.col(f"_before_{b}").alias(f"_g_before_{b}") for b in bands],

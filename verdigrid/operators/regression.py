@@ -188,14 +188,14 @@ def evaluate(test: DataFrame, model: OlsModel, target: str = TARGET) -> DataFram
 
 def counterfactual(
     df: DataFrame, model: OlsModel, scenario: Mapping[str, float] | None = None,
-    target: str = TARGET, gap_bands: Sequence[str] = GAP_BANDS, width: int | None = None,
+    target: str = TARGET, gap_bands: Sequence[str] = GAP_BANDS,
 ) -> DataFrame:
     """Predicted temperature under a changed land cover (no trees by default).
 
     Gaps are filled along the pixel order, the scenario overwrites its bands on every row, the target
     is dropped before incomplete rows are, so a pixel without a measured target is predicted too.
     """
-    gapless = interpolate_linear(df, gap_bands, width)
+    gapless = interpolate_linear(df, gap_bands)
     changed = set_constant(gapless, scenario or {"fraction_canopy": 0.0}).drop(target)
     return predict(drop_missing(changed), model)
 

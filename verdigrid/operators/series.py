@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -39,8 +38,8 @@ def summer_filter(df: DataFrame, time: str = "reference_time", months: tuple[int
 
 
 def observation_period(df: DataFrame, since: int = OBSERVED_SINCE, time: str = "reference_time") -> DataFrame:
-    """Records from the start of the year on; the comparison with a literal is pushed to the scan."""
-    return df.filter(F.col(time) >= F.lit(datetime(since, 1, 1)))
+    """Records from the start of the year on, in the session's time zone; the comparison with a literal is pushed to the scan."""
+    return df.filter(F.col(time) >= F.lit(f"{since:04d}-01-01").cast(df.schema[time].dataType))
 
 
 def attribute_filter(df: DataFrame, name: str, *values) -> DataFrame:

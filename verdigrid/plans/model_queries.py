@@ -11,9 +11,8 @@ from verdigrid.operators import spatial as osp
 from verdigrid.plans import views, workflows
 from verdigrid.plans.raster_queries import MEMBERS, PIX
 from verdigrid.plans.registry import query, rounded
-from verdigrid.session import scratch_path
+from verdigrid.session import materialise, scratch_path
 from verdigrid.sources.models import load_model, save_model
-from verdigrid.sources.pixels import materialise
 
 FEATURES, TARGET = rg.FEATURES, rg.TARGET
 COMPLETE = " AND ".join(f"{b} IS NOT NULL" for b in ob.STACK_BANDS)
@@ -97,7 +96,7 @@ def interpolate_linear(spark, sf):
     """Rows without LST are left out first, so positions differ from column numbers."""
     bands = ("dtm", "fraction_built", "lst")
     measured = views.pixels(spark, sf, bands).filter(F.col("lst").isNotNull())
-    out = gaps.interpolate_linear(measured, ("dtm", "fraction_built"), views.WIDTH)
+    out = gaps.interpolate_linear(measured, ("dtm", "fraction_built"))
     return rounded(out, 6, "dtm", "fraction_built").select("row_id", "col_id", "dtm", "fraction_built")
 
 
@@ -108,7 +107,7 @@ def interpolate_linear(spark, sf):
 )
 def row_index(spark, sf):
     rows = ob.valid_pixels(views.pixels(spark, sf, ("dtm",)))
-    return gaps.row_index(rows, "index", views.WIDTH).select("row_id", "col_id", "index")
+    return gaps.row_index(rows, "index").select("row_id", "col_id", "index")
 
 
 @query(
@@ -237,7 +236,7 @@ FROM scenario WHERE {_USABLE}""",
 )
 def counterfactual(spark, sf):
     """No-trees prediction of every pixel with given coefficients."""
-    out = rg.counterfactual(views.pixels(spark, sf), GIVEN, width=views.WIDTH)
+    out = rg.counterfactual(views.pixels(spark, sf), GIVEN)
     return rounded(out.select("row_id", "col_id", "dtm", "fraction_canopy", "predicted_lst"), 6, "dtm", "predicted_lst")
 
 

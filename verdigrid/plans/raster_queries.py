@@ -16,6 +16,8 @@ from verdigrid.operators import stack as ost
 from verdigrid.operators import warp as ow
 from verdigrid.plans import views, workflows
 from verdigrid.plans.registry import query, rounded
+from verdigrid.session import scratch_path
+from verdigrid.sources import pixels as sp
 
 MEMBERS = """
 members AS (
@@ -70,6 +72,23 @@ def masked_read(spark, sf):
     return out.drop("x", "y")
 
 
+@query(
+    "masked_load",
+    f"""WITH {MEMBERS}
+SELECT p.row_id, p.col_id - 30 AS col_id, CASE WHEN m.row_id IS NOT NULL THEN dtm END AS dtm,
+       CASE WHEN m.row_id IS NOT NULL THEN round(lst, 7) END AS lst
+FROM pixels p LEFT JOIN (SELECT DISTINCT row_id, col_id FROM members WHERE district_id = 3) m USING (row_id, col_id)
+WHERE p.row_id < 6 AND p.col_id BETWEEN 30 AND 60""",
+    PIX,
+)
+def masked_load(spark, sf):
+    """A stored raster read through a mask: only the window around the polygons is scanned."""
+    path = scratch_path(spark, "masked-load")
+    sp.write_pixels(views.pixels(spark, sf), views.pixel_meta(spark, sf), path)
+    edges = views.district_edges(spark).filter("district_id = 3")
+    return rounded(sp.read_raster(spark, path, ["dtm", "lst"], edges, mask_crs=views.CRS)[0], 7, "lst")
+
+
 @query(
     "clip_points",
     f"WITH {MEMBERS} SELECT row_id, col_id, dtm, round(lst, 7) AS lst FROM pixels SEMI JOIN members USING (row_id, col_id)",

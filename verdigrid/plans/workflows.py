@@ -6,16 +6,16 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
-from verdigrid.meta import GridMeta
-from verdigrid.operators.bands import STACK_BANDS, valid_pixels
+from verdigrid.meta import GridMeta, require_same_crs
+from verdigrid.operators.bands import PIXEL_KEY, STACK_BANDS, valid_pixels
 from verdigrid.operators.grid import pixel_centres
 from verdigrid.operators.regression import (
     FEATURES, SEEDS, TARGET, cooling_effect, counterfactual, score_table, train_all,
 )
-from verdigrid.operators.spatial import clip_points, district_services
+from verdigrid.operators.spatial import clip_points, district_services, mask_and_crop, mask_by_polygons
 from verdigrid.operators.stack import stack_bands
 from verdigrid.operators.warp import reproject_nearest
-from verdigrid.sources.pixels import materialise
+from verdigrid.session import materialise
 
 
 def pixel_table(
@@ -31,18 +31,31 @@ def pixel_table(
 def raster_processing(
     rasters: Sequence[tuple[DataFrame, GridMeta]], target: GridMeta, study_area: DataFrame,
     study_area_crs: str, polygon: Sequence[str] = ("district_id",), names: Sequence[str] = STACK_BANDS,
+    masks: Sequence[tuple[DataFrame, str] | None] | None = None,
 ) -> tuple[DataFrame, GridMeta]:
-    """Reproject every raster that is not on the target grid yet, stack, and make the pixel table.
+    """Mask the rasters, reproject those that are not on the target grid yet, stack, and make the pixel table.
 
-    All steps stay lazy: nothing is written between them.
+    ``masks`` gives for each raster the edges and CRS of the polygons it is masked by, or None. A raster that is moved is cropped to the
+    window around its mask first. All steps stay lazy: nothing is written between them, and cells without a source row are not made,
+    as the stack takes absent rows as missing.
     """
     aligned = []
-    for df, meta in rasters:
-        if meta.crs == target.crs and meta.same_grid(target):
+    for (df, meta), mask in zip(rasters, masks or [None] * len(rasters), strict=True):
+        bands = list(meta.bands)
+        on_grid = meta.crs == target.crs and meta.same_grid(target)
+        if mask is not None:
+            edges, crs = mask
+            centred = pixel_centres(df, meta)
+            if on_grid:
+                require_same_crs(meta.crs, crs)
+                df = mask_by_polygons(centred, edges, bands, polygon)
+            else:
+                df, meta = mask_and_crop(centred, meta, edges, bands, polygon, crs)
+            df = df.select(*PIXEL_KEY, *bands)
+        if on_grid:
             aligned.append((df, meta))
             continue
-        bands = list(meta.bands)
-        moved, grid = reproject_nearest(df, meta, target, bands)
+        moved, grid = reproject_nearest(df, meta, target, bands, keep_outside=False)
         aligned.append((moved, grid.with_bands(bands)))
     stack, meta = stack_bands(aligned, names)
     return pixel_table(stack, meta, study_area, study_area_crs, polygon, names), meta

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verdigrid.operators.spatial import edges_of_polygons
+from verdigrid.session import broadcast_within
 
 RING = "array<array<double>>"
 # Coordinates nest one level deeper in a multi-polygon, so they are read as text and parsed by type.
@@ -56,10 +57,16 @@ def _ddl_fields(properties: str) -> list[str]:
 def scan_edges(spark: SparkSession, path: str, properties: str = "", line_delimited: bool = False) -> DataFrame:
     """Polygon features as edge rows, the form every containment operator takes.
 
-    Equal copies of a feature share their id and become one polygon, else each edge would count twice.
+    Features that are equal in id, properties and geometry become one polygon, else each edge would count twice. Different features that share
+    an id stay polygons of their own: their ``feature_id`` is the id, ``#`` and the hash of the feature.
     """
     features = scan_features(spark, path, properties, line_delimited)
-    return edges_of_polygons(features.dropDuplicates(["feature_id"]))
+    content = F.md5(F.to_json(F.struct(*features.columns)))
+    different = features.withColumn("_content", content).dropDuplicates(["_content"])
+    shared = different.groupBy("feature_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("feature_id", F.lit(True).alias("_shared"))
+    named = different.join(broadcast_within(shared), "feature_id", "left")
+    own = F.when(F.col("_shared"), F.concat("feature_id", F.lit("#"), "_content")).otherwise(F.col("feature_id"))
+    return edges_of_polygons(named.withColumn("feature_id", own).select(*features.columns))
 
 
 def point_features(df: DataFrame, x: str = "x", y: str = "y") -> DataFrame:

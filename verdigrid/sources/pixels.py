@@ -13,7 +13,6 @@ from verdigrid.meta import GridMeta
 from verdigrid.operators.bands import PIXEL_KEY, nodata_to_null, select_bands
 from verdigrid.operators.grid import crop_to_extent, pixel_centres
 from verdigrid.operators.spatial import mask_and_crop
-from verdigrid.session import scratch_path
 
 TILE = 256
 #: Uncompressed bytes of a file, and those below which no further task is worth it.
