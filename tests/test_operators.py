@@ -257,6 +257,43 @@ def test_unknown_crs_raises():
         utm.zone_of("EPSG:4326")
 
 
+@pytest.mark.parametrize("tile", [1, 2, 3, 256])
+@pytest.mark.parametrize("factor", [0.5, 1.7])
+def test_bilinear_is_the_same_for_all_tiles(spark, monkeypatch, tile, factor):
+    monkeypatch.setattr(resample, "TILE", tile)
+    rng = np.random.default_rng(3)
+    values = rng.random((7, 5))
+    out, m = resample.resample_bilinear(raster(spark, values.tolist()), meta(7, 5), factor, ["v"])
+    rows, cols = np.linspace(0, 6, m.height), np.linspace(0, 4, m.width)
+    part = np.array([[np.interp(c, range(5), line) for c in cols] for line in values])
+    want = np.array([np.interp(rows, range(7), part[:, j]) for j in range(len(cols))]).T
+    assert np.allclose(np.array(as_array(out)), want)
+
+
+def test_bilinear_shuffles_each_cell_once_but_for_tile_borders(spark):
+    df = grid.grid_pixels(spark, meta(300, 600)).withColumn("v", F.col("row_id") * 1.0)
+    out, _ = resample.resample_bilinear(df, meta(300, 600), 2.0, ["v"], sparse=True)
+    assert plan_of(out).count("Exchange") == 1
+    assert "hashpartitioning(_tr" in plan_of(out)
+
+
+def test_absent_cells(spark):
+    rng = np.random.default_rng(9)
+    for height, width in ((1, 1), (3, 64), (2, 65), (4, 200)):
+        held = {(int(r), int(c)) for r, c in zip(rng.integers(0, height, 90), rng.integers(0, width, 90))}
+        rows = spark.createDataFrame([*held, *list(held)[:3], (-1, 0), (height, 0), (0, width)], KEY)
+        got = [tuple(r) for r in grid.absent_cells(rows, meta(height, width)).collect()]
+        assert sorted(got) == sorted({(r, c) for r in range(height) for c in range(width)} - held)
+
+
+def test_reprojection_shuffles_no_band(spark):
+    df = raster(spark, [[1.0, 2.0], [3.0, 4.0]]).withColumn("much", F.lit(7.0))
+    out, _ = warp.reproject_nearest(df, meta(2, 2), meta(2, 2), ["v", "much"])
+    for line in plan_of(out).splitlines():
+        if "Exchange" in line:
+            assert "id#" in line and "v#" not in line and "much" not in line
+
+
 # ------------------------------------------------------------ gaps
 
 

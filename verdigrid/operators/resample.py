@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,11 +17,14 @@ from pyspark.sql import functions as F
 from verdigrid.functions import affine
 from verdigrid.meta import GridMeta
 from verdigrid.operators.bands import PIXEL_KEY
-from verdigrid.operators.grid import grid_pixels
+from verdigrid.operators.grid import absent_cells
 
 # A weight below this is rounding noise of the position, and a missing neighbour does not matter.
 NO_WEIGHT = 1e-9
 
+#: Side of the tiles that bilinear resampling is dealt by.
+TILE = 256
+
 # Statistics offered per zone or block.
 STATS = {"sum": F.sum, "mean": F.avg, "min": F.min, "max": F.max, "count": F.count}
 
@@ -31,9 +35,9 @@ def _outputs(first: Column, last: Column) -> Column:
 
 
 def _complete(df: DataFrame, meta: GridMeta, bands: Sequence[str]) -> DataFrame:
-    """The raster with a row for every cell; only keys are shuffled to find those that have none."""
+    """The raster with a row for every cell; bitmaps of the keys show which have none."""
     rows = df.select(*[F.col(k).cast("int").alias(k) for k in PIXEL_KEY], *bands)
-    missing = grid_pixels(df.sparkSession, meta).join(rows.select(*PIXEL_KEY), list(PIXEL_KEY), "left_anti")
+    missing = absent_cells(rows.select(*PIXEL_KEY), meta)
     return rows.unionByName(missing.select(*PIXEL_KEY, *[F.lit(None).cast(df.schema[b].dataType).alias(b) for b in bands]))
 
 
@@ -80,9 +84,9 @@ def resample_bilinear(
 ) -> tuple[DataFrame, GridMeta]:
     """Scale rows and columns by ``factor``, bilinear between pixel centres of first and last cell.
 
-    Output ``i`` sits at source position ``i * (n_in - 1) / (n_out - 1)``. The shuffle carries only the
-    source cells that an output needs (up to four copies, merged map-side where neighbours share a
-    partition); outputs are emitted afterwards from their 2 x 2 block. A missing neighbour with weight
+    Output ``i`` sits at source position ``i * (n_in - 1) / (n_out - 1)``. The one exchange deals the source by square
+    tiles; of each tile only the first row and column also go to the neighbours before it, which need them for their last
+    blocks. Blocks of 2 x 2 cells and the outputs they own are made within the tile. A missing neighbour with weight
     makes the output missing. Every output cell comes out, unless ``sparse=True`` leaves out those whose block has no row.
     """
     df = df if sparse else _complete(df, meta, bands)
@@ -109,25 +113,32 @@ def resample_bilinear(
             _outputs(first, last), lambda o: F.least(F.floor(o * F.lit(s)), F.lit(n_in - 1)) == anchor
         )
 
-    # every source cell is the (0|1, 0|1) corner of up to four anchors
-    corners = df.select(
-        *PIXEL_KEY, *bands,
-        F.explode(F.array(*[
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (0, 1) for b in (0, 1)
-        ])).alias("_at"),
-    ).select(
-        (F.col("row_id") - F.col("_at.a")).cast("long").alias("_r"),
-        (F.col("col_id") - F.col("_at.b")).cast("long").alias("_c"),
+    def used(row: Column, col: Column) -> Column:
+        """An anchor that owns outputs: all of an enlarging grid, some of a shrinking one."""
+        if factor >= 1:
+            return F.lit(True)
+        return (F.size(owned(row, s_row, meta.height, out.height)) > 0) & (F.size(owned(col, s_col, meta.width, out.width)) > 0)
+
+    corners = [(a, b) for a in (0, 1) for b in (0, 1)]
+    row, col = F.col("row_id").cast("long"), F.col("col_id").cast("long")
+    tile = F.floor(row / F.lit(TILE)), F.floor(col / F.lit(TILE))
+    homes = F.array(*[
+        F.when((row % TILE == 0 if a else F.lit(True)) & (col % TILE == 0 if b else F.lit(True)), F.struct((tile[0] - a).alias("_tr"), (tile[1] - b).alias("_tc")))
+        for a, b in corners
+    ])
+    wanted = reduce(lambda x, y: x | y, [used(row - a, col - b) for a, b in corners])
+    homes = F.filter(homes, lambda t: t.isNotNull() & (t["_tr"] >= 0) & (t["_tc"] >= 0))
+    dealt = df.where(wanted).select(row.alias("_row"), col.alias("_col"), *bands, F.inline(homes)).repartition("_tr", "_tc")
+    # within a tile every cell is the (0|1, 0|1) corner of up to four anchors
+    places = dealt.withColumn("_at", F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in corners])))
+    places = places.select(
+        "_tr", "_tc", (F.col("_row") - F.col("_at.a")).alias("_r"), (F.col("_col") - F.col("_at.b")).alias("_c"),
         F.col("_at.a").alias("_a"), F.col("_at.b").alias("_b"), *bands,
-    ).filter((F.col("_r") >= 0) & (F.col("_c") >= 0))
-    if factor < 1:  # an enlarging grid uses every anchor; a shrinking one only some
-        corners = corners.filter(
-            (F.size(owned(F.col("_r"), s_row, meta.height, out.height)) > 0)
-            & (F.size(owned(F.col("_c"), s_col, meta.width, out.width)) > 0)
-        )
-    blocks = corners.groupBy("_r", "_c").agg(*[
+    ).where((F.floor(F.col("_r") / F.lit(TILE)) == F.col("_tr")) & (F.floor(F.col("_c") / F.lit(TILE)) == F.col("_tc")))
+    places = places.where(used(F.col("_r"), F.col("_c")))
+    blocks = places.groupBy("_tr", "_tc", "_r", "_c").agg(*[
         F.max(F.when((F.col("_a") == a) & (F.col("_b") == b), F.col(band))).alias(f"{band}_{a}{b}")
-        for band in bands for a in (0, 1) for b in (0, 1)
+        for band in bands for a, b in corners
     ])
     cells = (
         blocks.withColumn("row_id", F.explode(owned(F.col("_r"), s_row, meta.height, out.height)))

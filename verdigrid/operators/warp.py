@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from verdigrid.functions import affine, utm
 from verdigrid.meta import GridMeta
 from verdigrid.operators.bands import PIXEL_KEY
-from verdigrid.operators.grid import grid_pixels, pixel_centres
+from verdigrid.operators.grid import absent_cells, pixel_centres
 
 
 #: Share of a projected cell by which its edges may bend beyond its corners; below 0.3 per cent for cells of a degree.
@@ -45,8 +45,9 @@ def reproject_nearest(
     box (a little wider, as edges bend), and keeps those whose centre projects back into the source cell. Any pair of
     supported CRS works, degrees included. Each target cell has one such source cell, so these rows need no shuffle.
 
-    With ``keep_outside`` every cell of the target grid comes out by a left join of its keys: those without a source row, off the
-    source grid or missing in a sparse raster, hold ``fill`` (null by default). Shuffling the bands once costs less than projecting twice.
+    With ``keep_outside`` every cell of the target grid comes out: those without a source row, off the source grid or missing in a
+    sparse raster, hold ``fill`` (null by default). They are found by bitmaps of the moved cells' keys (``absent_cells``), for which the keys
+    are projected once more; no band is shuffled.
     """
     cells = pixel_centres(df.select(*PIXEL_KEY, *bands), meta, "_x", "_y")
     corners = []
@@ -79,10 +80,9 @@ def reproject_nearest(
     ).select(*PIXEL_KEY, *bands)
     if not keep_outside:
         return inside, target
-    grid = grid_pixels(df.sparkSession, target)
-    whole = grid.join(inside.withColumn("_found", F.lit(True)), list(PIXEL_KEY), "left")
-    value = {b: F.when(F.col("_found"), F.col(b)).otherwise(F.lit(fill).cast(df.schema[b].dataType)).alias(b) for b in bands}
-    return whole.select(*PIXEL_KEY, *value.values()), target
+    outside = absent_cells(inside.select(*PIXEL_KEY), target)
+    empty = outside.select(*PIXEL_KEY, *[F.lit(fill).cast(df.schema[b].dataType).alias(b) for b in bands])
+    return inside.unionByName(empty), target
 
 
 def _source_cell(cells: DataFrame, target: GridMeta, meta: GridMeta) -> DataFrame:
