@@ -19,7 +19,7 @@ from verdigrid.llm.common import in_arrow
 #: Words of at most so many parts keep their ranks in one array; longer ones use a heap. Same result.
 SHORT = 96
 #: Words that a worker remembers, and the length up to which it does.
-REMEMBERED, REMEMBERED_LENGTH = 100_000, 48
+REMEMBERED, REMEMBERED_LENGTH = 200_000, 48
 #: Texts are cut at white space into pieces of about so many characters.
 PIECE = 1 << 20
 _NONE = 1 << 60
@@ -70,11 +70,12 @@ class WordBpe:
         self.split = regex.compile(splitter)
         self.no_letter, self.odd = one_of(NO_LETTERS), one_of([*NO_LETTERS, *((c, c) for c in LOWER_CASE)])
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
+        self.high = regex.compile(rf"[\U{NO_LETTERS[0][0]:08X}-\U0010FFFF]").search
         self.known: dict[str, bytes] = {}
 
     def words(self, text: str) -> list[str]:
         """The words of a lower-cased text, by the letters and numbers that the library knows."""
-        if not self.odd.search(text):
+        if not self.high(text) or not self.odd.search(text):
             return self.split.findall(text)
         text = text.translate(LOWER_CASE)
         return [text[m.start() : m.end()] for m in self.split.finditer(self.no_letter.sub("\uffff", text))]
@@ -182,16 +183,15 @@ def pieces(text: str) -> Iterator[str]:
     yield text[at:]
 
 
-_LOADED: dict[tuple[type, bytes], WordBpe | WordTokens] = {}
+_LOADED: dict[type, tuple[bytes, WordBpe | WordTokens]] = {}
 
 
 def loaded(kind: type, data: bytes) -> WordBpe | WordTokens:
-    """The encoder or decoder, built once in each Python worker; a worker keeps only the last one."""
-    key = kind, hashlib.sha256(data).digest()
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = kind(data)
-    return _LOADED[key]
+    """The encoder or decoder, built once in each Python worker; of each kind a worker keeps only the last one."""
+    digest = hashlib.sha256(data).digest()
+    if kind not in _LOADED or _LOADED[kind][0] != digest:
+        _LOADED[kind] = digest, kind(data)
+    return _LOADED[kind][1]
 
 
 def _file(path: str) -> bytes:
