@@ -107,7 +107,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_suffix_array_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return done.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    # a cut may fall inside a character: the text marks what is left of it, the hash is that of the bytes
+    text = F.make_valid_utf8(F.col("kept").cast("string")).alias("text")
+    return done.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), text)
 
 
 def _hex_number(column, start: int) -> F.Column:
