@@ -19,6 +19,7 @@ from verdigrid.operators import bands as ob
 from verdigrid.operators import gaps, grid, landcover, regression, resample, scenes, series, spatial, stack, warp
 from verdigrid.session import within
 from verdigrid.sources import features, models, observations, pixels, sql
+from verdigrid.sources import scenes as stored_scenes
 
 KEY = "row_id int, col_id int"
 
@@ -476,3 +477,21 @@ def test_period_starts_in_the_session_zone(tmp_path):
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     done = subprocess.run([sys.executable, "-c", PERIOD.format(root=root)], env={**os.environ, "TZ": "Europe/Oslo"}, cwd=tmp_path, capture_output=True, text=True, timeout=300)
     assert done.returncode == 0, done.stderr[-2000:]
+
+
+def test_stored_scenes_read_only_the_days_of_the_period(spark, tmp_path):
+    rows = [(p, f"2024-01-{d:02d} {h:02d}:30:00", d % 2, float(d * p)) for p in range(6) for d in range(1, 29) for h in (0, 23)] + [(7, None, 0, 1.0)]
+    df = spark.createDataFrame(rows, "pixel_id int, t string, satellite int, value double").selectExpr("pixel_id", "CAST(t AS timestamp) AS scene_date", "satellite", "value")
+    path = f"{tmp_path}/scenes"
+    stored_scenes.write_scenes(df, path)
+    chosen = stored_scenes.scan_scenes(spark, path, "2024-01-10", "2024-01-12 12:00:00")
+    plan = plan_of(chosen)
+    assert "PartitionFilters: [isnotnull(scene_day" in plan and len(chosen.inputFiles()) > 0
+    read = {r[0] for r in chosen.selectExpr("regexp_extract(input_file_name(), 'scene_day=([^/]*)', 1)").distinct().collect()}
+    assert read == {"2024-01-10", "2024-01-11", "2024-01-12"}
+    want = scenes.date_range(df, "2024-01-10", "2024-01-12 12:00:00")
+    assert sorted(map(tuple, chosen.collect())) == sorted(map(tuple, want.collect())) != []
+    assert stored_scenes.scan_scenes(spark, path).count() == len(rows)
+    assert stored_scenes.scan_scenes(spark, path, satellite=1).count() == sum(r[2] == 1 for r in rows)
+    with pytest.raises(ValueError):
+        stored_scenes.write_scenes(df.withColumn("scene_day", F.lit(1)), path)

@@ -18,6 +18,7 @@ from verdigrid.plans import views, workflows
 from verdigrid.plans.registry import query, rounded
 from verdigrid.session import scratch_path
 from verdigrid.sources import pixels as sp
+from verdigrid.sources import scenes as ss
 
 MEMBERS = """
 members AS (
@@ -376,6 +377,20 @@ def max_composite(spark, sf):
     return osc.max_composite(chosen, ["value"])
 
 
+@query(
+    "stored_scenes",
+    """SELECT pixel_id, max(value) AS value, count(*) AS n_scenes FROM scenes
+WHERE scene_date >= TIMESTAMP '2024-01-05' AND scene_date < TIMESTAMP '2024-01-20' AND satellite = 'view' GROUP BY 1""",
+    ("scenes",),
+)
+def stored_scenes(spark, sf):
+    """A composite over a stored collection, of which only the folders of the period are read."""
+    path = scratch_path(spark, "scenes")
+    ss.write_scenes(views.scenes(spark, sf), path)
+    chosen = ss.scan_scenes(spark, path, "2024-01-05", "2024-01-20", "view")
+    return chosen.groupBy("pixel_id").agg(F.max("value").alias("value"), F.count(F.lit(1)).alias("n_scenes"))
+
+
 @query(
     "first_scene",
     """SELECT pixel_id, scene_date, event_id, value FROM
