@@ -13,7 +13,7 @@ from verdigrid.functions.bands import class_mask
 from verdigrid.meta import GridMeta
 from verdigrid.operators.bands import CLASS_GROUPS
 from verdigrid.operators.grid import grid_pixels
-from verdigrid.operators.spatial import rasterize_polygons
+from verdigrid.operators.spatial import covered_spans
 
 
 def land_cover_fractions(
@@ -32,17 +32,20 @@ def canopy_fraction(
 ) -> DataFrame:
     """Crown area over cell area for every block of ``k`` x ``k`` fine cells; 0 where no crown reaches.
 
-    Overlapping crowns cover a fine cell once. The coarse grid joins the covered blocks on their keys.
+    Overlapping crowns cover a fine cell once. The cells of a block are counted from merged spans, without a row per cell; the coarse grid joins
+    the covered blocks on their keys.
     """
     fine_area, cell_area = fine.dx * fine.dy, fine.dx * fine.dy * k * k
-    cells = rasterize_polygons(crowns, fine, polygon)
     coarse = replace(fine, dx=fine.dx * k, dy=fine.dy * k, width=-(-fine.width // k), height=-(-fine.height // k))
+    block = F.col("col_id")
+    parts = covered_spans(crowns, fine, polygon).select(
+        affine.block_of(F.col("row_id"), k).cast("int").alias("row_id"), "from_col", "to_col",
+        F.explode(F.sequence(F.expr(f"from_col div {k}"), F.expr(f"to_col div {k}"))).alias("col_id"),
+    )
+    cells = F.least(F.col("to_col"), block * k + (k - 1)) - F.greatest(F.col("from_col"), block * k) + 1
     covered = (
-        cells.groupBy(
-            affine.block_of(F.col("row_id"), k).cast("int").alias("row_id"),
-            affine.block_of(F.col("col_id"), k).cast("int").alias("col_id"),
-        )
-        .agg((F.count(F.lit(1)) * F.lit(fine_area)).alias("area"))
+        parts.select("row_id", block.cast("int").alias("col_id"), cells.alias("cells"))
+        .groupBy("row_id", "col_id").agg((F.sum("cells") * F.lit(fine_area)).alias("area"))
     )
     return (
         grid_pixels(crowns.sparkSession, coarse).join(covered, ["row_id", "col_id"], "left")

@@ -43,6 +43,8 @@ DEPTH = 16
 LEAST_CELL = 2.0**-20
 #: Index rows per edge that the own choice of the cell size stays below.
 INDEX_ROWS = 16
+#: Columns of a raster row that are swept together.
+STRIP = 4096
 SALTS = 8
 
 
@@ -356,12 +358,12 @@ def mask_and_crop(
     return mask_by_polygons(window, edges, bands, polygon, **options), cropped
 
 
-def rasterize_polygons(edges: DataFrame, meta: GridMeta, polygon=("crown_id",)) -> DataFrame:
-    """Distinct cells of ``meta``'s grid whose centre lies in (or on) any polygon.
+def covered_spans(edges: DataFrame, meta: GridMeta, polygon=("crown_id",)) -> DataFrame:
+    """The cells of ``meta``'s grid whose centre lies in (or on) any polygon, as disjoint spans ``row_id, from_col, to_col``.
 
     Scan lines: each edge gives its crossing with every cell row it spans; between the odd and the next
-    crossing of a polygon the cells are inside. The work is edges x rows plus cells written, never
-    bounding-box cells x edges.
+    crossing of a polygon the cells are inside. Spans of several polygons are merged by a sweep along strips of a row, so rows number edges x rows
+    (and one more for each strip that a span enters), however many cells the polygons cover.
     """
     d_x, d_y = F.lit(float(meta.dx)), F.lit(float(meta.dy))
     x0, y0 = F.lit(float(meta.x0)), F.lit(float(meta.y0))
@@ -394,18 +396,34 @@ def rasterize_polygons(edges: DataFrame, meta: GridMeta, polygon=("crown_id",))
         F.when(F.col("y1") == F.col("y2"), F.greatest("x1", "x2"))
         .otherwise(F.when(F.col("y1") == y, F.col("x1")).otherwise(F.col("x2"))).alias("_b"),
     )
+    centre = lambda col: x0 + d_x * (col + 0.5)
     from_col = F.greatest(F.floor((F.col("_a") - x0) / d_x - 0.5), F.lit(0)).cast("long")
     to_col = F.least(F.ceil((F.col("_b") - x0) / d_x - 0.5), F.lit(meta.width - 1)).cast("long")
-    centre = x0 + d_x * (F.col("col_id") + 0.5)
-    return (
-        spans.unionByName(lying)
-        .withColumns({"_from": from_col, "_to": to_col})
+    # the division may round to either side of a centre, so the ends are settled by the centres themselves
+    ends = (
+        spans.unionByName(lying).withColumns({"_from": from_col, "_to": to_col})
+        .withColumn("_from", F.when(centre(F.col("_from")) < F.col("_a"), F.col("_from") + 1).otherwise(F.col("_from")))
+        .withColumn("_from", F.when(centre(F.col("_from")) < F.col("_a"), F.col("_from") + 1).otherwise(F.col("_from")))
+        .withColumn("_to", F.when(centre(F.col("_to")) > F.col("_b"), F.col("_to") - 1).otherwise(F.col("_to")))
+        .withColumn("_to", F.when(centre(F.col("_to")) > F.col("_b"), F.col("_to") - 1).otherwise(F.col("_to")))
         .filter(F.col("_from") <= F.col("_to"))
-        .withColumn("col_id", F.explode(F.sequence("_from", "_to")))
-        .filter((centre >= F.col("_a")) & (centre <= F.col("_b")))
-        .select(F.col("row_id").cast("int").alias("row_id"), F.col("col_id").cast("int").alias("col_id"))
-        .distinct()
     )
+    strip = F.col("_strip")
+    cut = ends.withColumn("_strip", F.explode(F.sequence(F.expr(f"_from div {STRIP}"), F.expr(f"_to div {STRIP}")))).select(
+        "row_id", "_strip", F.greatest("_from", strip * STRIP).alias("_from"), F.least("_to", strip * STRIP + (STRIP - 1)).alias("_to")
+    )
+    # of spans with one start the longest is enough; it is found before the exchange
+    longest = cut.groupBy("row_id", "_strip", "_from").agg(F.max("_to").alias("_to"))
+    sweep = Window.partitionBy("row_id", "_strip").orderBy("_from").rowsBetween(Window.unboundedPreceding, -1)
+    fresh = F.greatest(F.col("_from"), F.coalesce(F.max("_to").over(sweep) + 1, F.col("_from")))
+    merged = longest.withColumn("_new", fresh).filter(F.col("_new") <= F.col("_to"))
+    return merged.select(F.col("row_id").cast("int").alias("row_id"), F.col("_new").alias("from_col"), F.col("_to").alias("to_col"))
+
+
+def rasterize_polygons(edges: DataFrame, meta: GridMeta, polygon=("crown_id",)) -> DataFrame:
+    """Distinct cells of ``meta``'s grid whose centre lies in (or on) any polygon; cells are made from merged spans and never shuffled."""
+    cells = covered_spans(edges, meta, polygon).select("row_id", F.explode(F.sequence("from_col", "to_col")).alias("col_id"))
+    return cells.select("row_id", F.col("col_id").cast("int").alias("col_id"))
 
 
 def district_services(

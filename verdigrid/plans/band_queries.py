@@ -58,6 +58,25 @@ def scan_features(spark, sf):
     return rounded(edges.select("crown_id", *os_.EDGE), 6, *os_.EDGE)
 
 
+@query(
+    "scan_collection",
+    "SELECT crown_id, round(x1, 6) AS x1, round(y1, 6) AS y1, round(x2, 6) AS x2, round(y2, 6) AS y2 FROM crown_edges",
+    ("crown_edges",),
+)
+def scan_collection(spark, sf):
+    """Crowns written as feature collections of up to 5,000, each one JSON document, and read by byte ranges."""
+    path = scratch_path(spark, "collections")
+    feature = F.struct(
+        F.lit("Feature").alias("type"), F.struct(F.lit("Polygon").alias("type"), F.col("rings").alias("coordinates")).alias("geometry"),
+        F.struct("crown_id").alias("properties"),
+    )
+    documents = views.crowns(spark, sf).groupBy(F.expr("crown_id div 5000").alias("part")).agg(F.collect_list(feature).alias("features"))
+    collection = F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), "features")).alias("value")
+    documents.select(collection, "part").repartition("part").write.partitionBy("part").text(path)
+    edges = features.scan_edges(spark, path, "crown_id long")
+    return rounded(edges.select("crown_id", *os_.EDGE), 6, *os_.EDGE)
+
+
 @query(
     "write_features",
     "SELECT x, y, row_id, col_id, dtm, round(lst, 7) AS lst FROM pixels",

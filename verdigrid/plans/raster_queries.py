@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from verdigrid.functions import utm
@@ -144,11 +146,34 @@ def layer_bounds(spark, sf):
     return rounded(bounds, 6, *bounds.columns)
 
 
-@query("extent", "SELECT min(x) AS min_x, min(y) AS min_y, max(x) AS max_x, max(y) AS max_y FROM pixels", ("pixels",))
+SIZE = """SELECT count(*) AS n_pixels, CAST(max(row_id) + 1 AS BIGINT) AS n_rows, CAST(max(col_id) + 1 AS BIGINT) AS n_cols, 7 AS n_bands
+FROM pixels"""
+EXTENT = "SELECT min(x) AS min_x, min(y) AS min_y, max(x) AS max_x, max(y) AS max_y FROM pixels"
+
+
+@query("extent", EXTENT, ("pixels",))
 def extent(spark, sf):
     return og.extent(views.pixels(spark, sf, ("dtm",)))
 
 
+def _stored(spark, sf):
+    path = scratch_path(spark, "stored")
+    sp.write_pixels(views.pixels(spark, sf), views.pixel_meta(spark, sf), path)
+    return path
+
+
+@query("stored_extent", EXTENT, ("pixels",))
+def stored_extent(spark, sf):
+    """The extent of a stored raster, from footers."""
+    return sp.stored_extent(spark, _stored(spark, sf))
+
+
+@query("stored_size", SIZE, ("pixels",))
+def stored_size(spark, sf):
+    """The size of a stored raster, from footers."""
+    return sp.stored_size(spark, _stored(spark, sf))
+
+
 @query(
     "edges_of_polygons",
     "SELECT crown_id, round(x1, 6) AS x1, round(y1, 6) AS y1, round(x2, 6) AS x2, round(y2, 6) AS y2 FROM crown_edges",
@@ -488,24 +513,34 @@ def expand_zone(spark, sf):
 # ---------------------------------------------------------------- stacks and composed tables
 
 
-@query(
-    "stack_bands",
-    """WITH t AS (SELECT row_id, col_id, dtm FROM pixels),
+STACKED = """WITH t AS (SELECT row_id, col_id, dtm FROM pixels),
 c AS (SELECT row_id, col_id, fraction_built, fraction_cropland, fraction_grass, fraction_water FROM pixels),
 s AS (SELECT row_id, col_id, lst FROM pixels WHERE row_id % 2 = 0),
 k AS (SELECT row_id, col_id, fraction_canopy FROM pixels WHERE col_id % 3 > 0)
 SELECT row_id, col_id, dtm, round(fraction_built, 7) AS fraction_built, round(fraction_cropland, 7) AS fraction_cropland,
        round(fraction_grass, 7) AS fraction_grass, round(fraction_water, 7) AS fraction_water, round(lst, 7) AS lst,
        round(fraction_canopy, 7) AS fraction_canopy
-FROM t FULL JOIN c USING (row_id, col_id) FULL JOIN s USING (row_id, col_id) FULL JOIN k USING (row_id, col_id)""",
-    ("pixels",),
-)
+FROM t FULL JOIN c USING (row_id, col_id) FULL JOIN s USING (row_id, col_id) FULL JOIN k USING (row_id, col_id)"""
+
+
+@query("stack_bands", STACKED, ("pixels",))
 def stack_bands(spark, sf):
     """Four rasters of 1 + 4 + 1 + 1 bands; two of them lack pixels."""
     stacked, _ = ost.stack_bands(_rasters(spark, sf))
     return rounded(stacked, 7, *(b for b in ob.STACK_BANDS if b != "dtm"))
 
 
+@query("stack_tiles", STACKED, ("pixels",))
+def stack_tiles(spark, sf):
+    """The same four rasters, stored by tile and stacked without a shuffle."""
+    tables = []
+    for df, meta in _rasters(spark, sf):
+        tables.append(f"tiles_{uuid.uuid4().hex}")
+        sp.write_tiles(df, meta.with_bands(c for c in df.columns if c not in ob.PIXEL_KEY), tables[-1], 8)
+    stacked, _ = sp.stack_tiles(spark, tables)
+    return rounded(stacked, 7, *(b for b in ob.STACK_BANDS if b != "dtm"))
+
+
 def _rasters(spark, sf):
     meta = views.pixel_meta(spark, sf)
     part = lambda *bands: ob.select_bands(views.pixels(spark, sf, bands), bands)
@@ -548,11 +583,6 @@ def grid_lookup(spark, sf):
     return ow.grid_lookup(points, views.pixels(spark, sf, ("dtm",)), meta, ["dtm"]).select("id", "dtm")
 
 
-@query(
-    "collection_size",
-    """SELECT count(*) AS n_pixels, CAST(max(row_id) + 1 AS BIGINT) AS n_rows, CAST(max(col_id) + 1 AS BIGINT) AS n_cols, 7 AS n_bands
-FROM pixels""",
-    ("pixels",),
-)
+@query("collection_size", SIZE, ("pixels",))
 def collection_size(spark, sf):
     return og.collection_size(views.pixels(spark, sf))

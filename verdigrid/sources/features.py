@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from verdigrid.operators.spatial import edges_of_polygons
 from verdigrid.session import broadcast_within
+from verdigrid.sources.documents import RANGE_BYTES, scan_array
 
 RING = "array<array<double>>"
 # Coordinates nest one level deeper in a multi-polygon, so they are read as text and parsed by type.
@@ -15,23 +16,23 @@ GEOMETRY = "struct<type: string, coordinates: string>"
 
 
 def scan_features(
-    spark: SparkSession, path: str, properties: str = "", line_delimited: bool = False, strict: bool = True
+    spark: SparkSession, path: str, properties: str = "", line_delimited: bool = False, strict: bool = True,
+    range_bytes: int | None = RANGE_BYTES,
 ) -> DataFrame:
     """Polygon features as ``feature_id, <properties>, rings``.
 
     ``properties`` is a DDL list such as ``"name string, population long"``. A feature collection is one
-    JSON document and is parsed by one task; large layers come line-delimited, one feature per line,
-    and are split like any text file; the features of one document are dealt out again after parsing. ``feature_id`` is the
+    JSON document: it is cut into ranges of ``range_bytes`` (see ``scan_array``), or parsed by one task with ``range_bytes=None``, for file
+    systems that Arrow cannot open. Line-delimited layers are split like any text file. ``feature_id`` is the
     hash of geometry and properties when the file carries no ``id``, so it does not depend on partitioning; equal copies
     share it. A feature that is no JSON or no (multi)polygon raises; with ``strict=False`` it comes without rings and with
     its text in ``reject``, which is null for all others.
     """
     props = f"struct<{', '.join(_ddl_fields(properties))}>"
     feature = f"struct<id: string, geometry: {GEOMETRY}, properties: {props}>"
-    if line_delimited:
-        rows = spark.read.text(path).filter(F.trim("value") != "").select(
-            F.from_json("value", feature).alias("f"), F.col("value").alias("source")
-        )
+    if line_delimited or range_bytes is not None:
+        texts = spark.read.text(path).filter(F.trim("value") != "") if line_delimited else scan_array(spark, path, "features", range_bytes)
+        rows = texts.select(F.from_json("value", feature).alias("f"), F.col("value").alias("source"))
     else:
         whole = spark.read.option("multiLine", True).schema(f"features array<{feature}>").json(path)
         rows = whole.select(F.explode("features").alias("f")).repartition("f").withColumn("source", F.to_json("f"))
