@@ -127,10 +127,12 @@ def _ip(value: Column, seed: Column) -> Column:
     return F.array_join(F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: (_number(seed, i) % 254 + 1).cast("string")), ".")
 
 
-def _email(value: Column, seed: Column) -> Column:
-    """The part after the last dot stays."""
+def _email(value: Column, seed: Column, attempt: Column) -> Column:
+    """The part after the last dot stays. Each further attempt puts one more letter in front, so any number of addresses finds room."""
     end = F.regexp_extract(value, r"\.\p{L}+$", 0)
-    return F.concat(_letters(F.substring(value, F.lit(1), F.length(value) - F.length(end)), seed), end)
+    letter = lambda i: F.substring(F.lit("abcdefghijklmnopqrstuvwxyz"), (_number(seed, -i) % 26 + 1).cast("int"), F.lit(1))
+    more = F.transform(F.sequence(F.lit(0), attempt), lambda i: F.when(i == 0, "").otherwise(letter(i)))
+    return F.concat(F.array_join(more, ""), _letters(F.substring(value, F.lit(1), F.length(value) - F.length(end)), seed), end)
 
 
 def _name(value: Column, gender: Column, seed: Column, attempt: Column) -> Column:
@@ -158,7 +160,7 @@ def _name(value: Column, gender: Column, seed: Column, attempt: Column) -> Colum
 def surrogate(kind: Column, value: Column, gender: Column, secret: str, attempt: Column) -> Column:
     def drawn(seed: Column) -> Column:
         return (
-            F.when(kind == "email", _email(value, seed)).when(kind == "secret", _hex(value, seed)).when(kind == "ip", _ip(value, seed))
+            F.when(kind == "email", _email(value, seed, attempt)).when(kind == "secret", _hex(value, seed)).when(kind == "ip", _ip(value, seed))
             .when(kind == "card", _card(value, seed)).when(kind == "phone", _phone(value, seed)).otherwise(_name(value, gender, seed, attempt))
         )
 
@@ -169,7 +171,7 @@ def entity_table(entities: DataFrame, secret: str, rounds: int = 100) -> DataFra
     """``kind, value, gender, surrogate`` for different ``entities (kind, value, gender)``, checked for collisions.
 
     Of entities that draw one surrogate the least keeps it; the others, and any whose surrogate is itself an entity of the data, draw again.
-    Family names grow with each draw. Each round is a few grouped aggregates and joins; only a flag reaches the driver.
+    Family names and addresses grow with each draw. Each round is a few grouped aggregates and joins; only a flag reaches the driver.
     """
     drawn = entities.withColumn("attempt", F.lit(0))
     for _ in range(rounds):
@@ -187,14 +189,18 @@ def entity_table(entities: DataFrame, secret: str, rounds: int = 100) -> DataFra
 
 
 def _worded(mention: Column, kind: Column, new: Column) -> Column:
-    """The surrogate in the format of one mention: its marks, its capitals, its title."""
+    """The surrogate in the format of one mention: its marks, its capitals, its title. Letters in front of a longer address are capitals if the mention has nothing else."""
+    more = F.when(kind == "email", F.greatest(F.length(new) - F.length(mention), F.lit(0))).otherwise(F.lit(0))
+    front, base = F.substring(new, F.lit(1), more), F.substring(new, more + 1, F.length(new))
+    front = F.when(mention == F.upper(mention), F.upper(front)).otherwise(front)
+
     def one(i: Column) -> Column:
         c = F.substring(mention, i, F.lit(1))
         at = F.length(F.regexp_replace(F.substring(mention, F.lit(1), i), _PLAIN, ""))
-        drawn = F.substring(F.regexp_replace(new, _PLAIN, ""), at, F.lit(1))
+        drawn = F.substring(F.regexp_replace(base, _PLAIN, ""), at, F.lit(1))
         return F.when(c.rlike(_PLAIN), c).when(c.rlike(r"\p{Lu}"), F.upper(drawn)).otherwise(drawn)
 
-    spelled = F.array_join(F.transform(F.sequence(F.lit(1), F.length(mention)), one), "")
+    spelled = F.concat(front, F.array_join(F.transform(F.sequence(F.lit(1), F.length(mention)), one), ""))
     return F.when(kind == "ip", new).when(kind == "name", F.concat(F.regexp_extract(mention, _TITLE, 0), new)).otherwise(spelled)
 
 
