@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verdigrid.llm.common import fresh, stored
+from verdigrid.llm.license_blocks import LICENCE_FILE, license_texts, matching_blocks, with_blocks
 
 # Notices by licence.
 TEMPLATES = {
@@ -22,7 +23,7 @@ TEMPLATES = {
     "proprietary": "All rights reserved.",
 }
 LEAST = 0.8
-LICENCE_FILE = r"(?i)^(?:LICEN[CS]E|COPYING)(?:\.[a-z]+)?$"
+_SPDX = r"SPDX-License-Identifier:[ \t]*([A-Za-z0-9.+()-]+(?:[ \t]+(?:AND|OR|WITH)[ \t]+[A-Za-z0-9.+()-]+)*)"
 _BREAK = r"[^\p{L}\p{N}.]+"
 
 
@@ -103,17 +104,35 @@ def folders_above(folder: Column) -> Column:
     return F.when(folder == "", top).otherwise(F.concat(top, names))
 
 
-def scan_licenses(docs: DataFrame, path: str = "path", text: str = "text", templates: dict[str, str] = TEMPLATES, least: float = LEAST) -> DataFrame:
+def declared(text: Column) -> Column:
+    """The expression of the first ``SPDX-License-Identifier`` of a text, else null."""
+    return F.when(F.contains(text, F.lit("SPDX-License-Identifier:")), F.nullif(F.regexp_extract(text, _SPDX, 1), F.lit("")))
+
+
+def scan_licenses(
+    docs: DataFrame, path: str = "path", text: str = "text", templates: dict[str, str] = TEMPLATES, least: float = LEAST,
+    texts: list[tuple[str, str]] | None = None,
+) -> DataFrame:
     """Each row of ``docs`` as struct ``row``, with ``own_license, similarity, license, inherited_from``.
 
-    A file's own notice decides; without one it takes the licence of the licence file in the nearest directory above it. Several licence files in a
-    directory: the greater cosine wins, then the lesser licence name. A null text has no notice, a null path inherits nothing.
+    A file's own licence is that of its SPDX line (similarity 1); else the nearer of two: the line nearest to a short notice of ``templates``, and its
+    header block, or whole text if it is a licence file, nearest to a licence text of ``texts`` (``license_texts()``) or to a notice. Equal cosines: the line.
+    A file without an own licence takes that of the licence file in the nearest directory above it. Several licence files in a
+    directory: the greater cosine wins, then the lesser licence name. A null text has no licence, a null path inherits nothing.
     Repeated rows get equal answers; an empty table gives an empty result.
 
     Only different directories are expanded to their ancestors; they join the licence directories by name, and the answer joins the files back.
     """
-    scored = notices(docs, text, templates, least)
-    at = F.col(f"row.{path}")
+    known = (license_texts() if texts is None else texts) + list(templates.items())
+    matched = matching_blocks(docs, path, text, known, least)
+    at, whole = F.col(f"row.{path}"), F.col(f"row.{text}")
+    scored = with_blocks(notices(docs, text, templates, least), matched, at, whole)
+    spdx, nearer = declared(whole), F.col("block_similarity") > F.coalesce("similarity", F.lit(0.0))
+    scored = scored.select(
+        "row",
+        F.when(spdx.isNotNull(), spdx).when(nearer, F.col("block_license")).otherwise(F.col("own_license")).alias("own_license"),
+        F.when(spdx.isNotNull(), 1.0).when(nearer, F.col("block_similarity")).otherwise(F.col("similarity")).alias("similarity"),
+    )
     files = scored.select("row", "own_license", "similarity", F.when(at.isNotNull(), folder_of(at)).alias("folder"))
     is_file = F.regexp_extract(at, r"([^/]*)$", 1).rlike(LICENCE_FILE)
     sources = files.where(is_file & F.col("own_license").isNotNull()).groupBy("folder").agg(
