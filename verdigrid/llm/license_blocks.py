@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from itertools import accumulate
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +21,8 @@ LICENCE_FILE = r"(?i)^(?:LICEN[CS]E|COPYING)(?:[.-][a-z0-9.+-]+)?$"
 #: Matching blocks that are broadcast on the way back (about 100 bytes each); more are joined by shuffle, over this many salts.
 BROADCAST_BLOCKS = 100_000
 SALTS = 16
+#: Shares of a template's squared weight, heaviest terms first, whose terms are counted before a block is expanded; 1 must be among them.
+SHARES = (0.4, 0.7, 1.0)
 # Marks of line comments, and of block comments with their ends.
 _LINE_MARKS = r"#|//|--|;|%|\.\\\"|'|REM\b|dnl\b"
 _BLOCK_MARKS = {"/*": "*/", "<!--": "-->", '"""': '"""', "'''": "'''", "(*": "*)", "{-": "-}"}
@@ -47,13 +50,17 @@ def counts_of(text: str) -> Counter:
 
 def block_of(path: Column, text: Column) -> Column:
     """The block of a file; null if it has none. A null path is no licence file."""
-    start = F.regexp_replace(text, r"^\s+", "")
-    lines = F.when(start.rlike(rf"^(?:{_LINE_MARKS})"), F.split(start, rf"\n(?![ \t]*(?:{_LINE_MARKS}))", 2)[0])
-    head = lines.otherwise(F.split(start, r"\n[ \t\r]*\n", 2)[0])
-    for mark, end in _BLOCK_MARKS.items():
-        head = F.when(F.startswith(start, F.lit(mark)), F.substring_index(F.substr(start, F.lit(len(mark) + 1)), end, 1)).otherwise(head)
     is_file = F.coalesce(F.regexp_extract(path, r"([^/]*)$", 1).rlike(LICENCE_FILE), F.lit(False))
-    return F.nullif(F.when(is_file, start).otherwise(head), F.lit(""))
+
+    def block(start: Column) -> Column:
+        lines = F.when(start.rlike(rf"^(?:{_LINE_MARKS})"), F.split(start, rf"\n(?![ \t]*(?:{_LINE_MARKS}))", 2)[0])
+        head = lines.otherwise(F.split(start, r"\n[ \t\r]*\n", 2)[0])
+        for mark, end in _BLOCK_MARKS.items():
+            head = F.when(F.startswith(start, F.lit(mark)), F.substring_index(F.substr(start, F.lit(len(mark) + 1)), end, 1)).otherwise(head)
+        return F.nullif(F.when(is_file, start).otherwise(head), F.lit(""))
+
+    # bound by a lambda, so that the text is trimmed once
+    return F.transform(F.array(F.ltrim(text, F.lit(" \t\n\x0b\f\r"))), block)[0]
 
 
 def _words(block: Column) -> Column:
@@ -74,25 +81,31 @@ def block_weights(blocks: DataFrame, vocabulary: list[str]) -> tuple[dict[str, f
     return {w: 1 + math.log((1 + total) / (1 + counts.get(w, 0))) for w in vocabulary}, 1 + math.log((1 + total) / 2)
 
 
-def least_terms(vector: dict[str, float], least: float) -> int:
-    """The fewest different terms of a template that a block must share to reach the cosine ``least``.
+def term_bounds(vector: dict[str, float], least: float) -> list[tuple[int, list[str]]]:
+    """Sets of a template's heaviest terms, and how many of each set a block must have to reach the cosine ``least``.
 
-    By Cauchy-Schwarz the cosine is at most the length of the template on the shared terms over its whole length.
+    By Cauchy-Schwarz the cosine is at most the length of the template on the shared terms over its whole length, so a block misses at most
+    ``1 - least^2`` of the squared weights. Of a set that holds more than this it therefore has the rest, for which the heaviest terms need the fewest.
     """
-    squares = sorted((v * v for v in vector.values()), reverse=True)
-    goal, held = (least * least - 1e-9) * sum(squares), 0.0
-    for i, s in enumerate(squares, 1):
-        held += s
-        if held >= goal:
-            return i
-    return len(squares)
+    ranked = sorted(vector, key=lambda w: (-vector[w], w))
+    squares = [vector[w] ** 2 for w in ranked]
+    whole = sum(squares)
+    missed = (1 - least * least) * whole + 1e-9 * whole
+    upto = list(accumulate(squares))
+    out = []
+    for share in SHARES:
+        size = next((i for i, held in enumerate(upto, 1) if held >= share * whole), len(ranked))
+        goal = upto[size - 1] - missed
+        if goal > 0:
+            out.append((next(i for i, held in enumerate(upto, 1) if held >= goal), ranked[:size]))
+    return out
 
 
 def matching_blocks(docs: DataFrame, path: str, text: str, templates: list[tuple[str, str]], least: float) -> DataFrame:
     """``block_id, block_license, block_similarity`` of each different block whose cosine to a template is ``least`` or more.
 
     Term frequency is ``1 + ln(count)``. A term outside the templates weighs as one of a single block. Only blocks that share enough different terms
-    with a template to reach ``least`` (an exact bound, checked in the scan) are grouped by content and expanded into vectors, so equal licence files
+    with a template to reach ``least`` (exact bounds, ``term_bounds``, checked in the scan) are grouped by content and expanded into vectors, so equal licence files
     are compared once. The greatest cosine wins, then the template named first. Null and empty texts have no block.
     """
     blocks = docs.select(block_of(F.col(path), F.col(text)).alias("block")).where("block IS NOT NULL")
@@ -101,10 +114,11 @@ def matching_blocks(docs: DataFrame, path: str, text: str, templates: list[tuple
     vectors = [{w: (1 + math.log(n)) * weights[w] for w, n in c.items()} for c in counts]
     known = F.array_intersect(F.array_distinct(_words(F.col("block"))), _constant(sorted(weights)))
     # one folded literal; the block's known terms are bound once, for all templates
-    bounds = F.array(*[F.struct(F.lit(least_terms(v, least)).alias("need"), _constant(sorted(v)).alias("words")) for v in vectors])
-    enough = F.exists(
-        F.array(known), lambda k: F.exists(bounds, lambda b: (F.size(k) >= b["need"]) & (F.size(F.array_intersect(k, b["words"])) >= b["need"]))
+    bounds = F.array(
+        *[F.array(*[F.struct(F.lit(need).alias("need"), _constant(words).alias("words")) for need, words in term_bounds(v, least)]) for v in vectors]
     )
+    holds = lambda k: lambda b: (F.size(k) >= b["need"]) & (F.size(F.array_intersect(k, b["words"])) >= b["need"])
+    enough = F.exists(F.array(known), lambda k: F.exists(bounds, lambda sets: F.forall(sets, holds(k))))
     near = blocks.where(enough).select(F.sha2("block", 256).alias("block_id"), "block")
     # the different blocks: copies meet by digest after one block of each has been kept per task
     near = stored(near.groupBy("block_id").agg(F.any_value("block").alias("block")), "license-blocks")
