@@ -189,6 +189,22 @@ def test_no_nested_loop(spark):
             assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_large_index_is_not_broadcast(spark, tmp_path):
+    """Spark's estimate of an index made by explode is far too low; above the limit neither it nor its tests may be broadcast."""
+    spark.createDataFrame(random_layer(8), EDGES).write.parquet(f"{tmp_path}/edges")
+    e = spark.read.parquet(f"{tmp_path}/edges")
+    p = spark.createDataFrame(lattice(9), POINTS).withColumn("band", F.lit(1.0))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        for how in ("inner", "left_semi", "left_anti"):
+            assert "Broadcast" not in plan_of(spatial.containment(p, e, ("poly_id",), how, broadcast_edges=0))
+            assert "Broadcast" in plan_of(spatial.containment(p, e, ("poly_id",), how))
+        assert "Broadcast" not in plan_of(spatial.mask_by_polygons(p, e, ["band"], ("poly_id",), broadcast_edges=0))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 @pytest.mark.parametrize("seed", [11, 12])
 def test_rasterize_equals_containment_of_centres(spark, seed):
     meta = GridMeta("EPSG:25832", -2.0, 34.0, 1.0, 1.0, 36, 36)

@@ -190,7 +190,7 @@ def quadtree(
             counts = inside.groupBy("bx", "by").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > cell_edges)
             crowded = materialise(counts.select("bx", "by"), "crowded-cells")
             n_crowded = crowded.count()
-            small = F.broadcast if n_crowded <= BROADCAST_EDGES else lambda df: df  # also bounds what follows from it: two columns, four rows each
+            small = F.broadcast if n_crowded <= BROADCAST_EDGES else lambda df: df.hint("merge")  # also bounds what follows from it: two columns, four rows each
             crowded = small(crowded) if n_crowded else None
         leaves.append(_leaves(near, polygon, crowded, columns).select(*polygon, F.lit(level).alias("level"), "bx", "by", "base", "edges"))
         if crowded is None:
@@ -260,7 +260,8 @@ def _matched(points: DataFrame, index: DataFrame, how: str, small: bool, test, x
         index = F.broadcast(index)
     else:
         points = points.withColumn("_salt", F.pmod(F.xxhash64(x, y), F.lit(SALTS)).cast("int"))
-        index = index.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        # by its estimate of a frame made by explode, Spark would broadcast an index far above its limit
+        index = index.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("merge")
         on = on & (F.col("_salt") == F.col("_slot"))
     return points.join(index, on if test is None else on & test, how)
 
