@@ -26,7 +26,7 @@ SHARES = (0.4, 0.7, 1.0)
 # Marks of line comments, and of block comments with their ends.
 _LINE_MARKS = r"#|//|--|;|%|\.\\\"|'|REM\b|dnl\b"
 _BLOCK_MARKS = {"/*": "*/", "<!--": "-->", '"""': '"""', "'''": "'''", "(*": "*)", "{-": "-}"}
-_BREAK = r"[^\p{L}\p{N}]+"
+_BREAK = r"[^a-z0-9\p{L}\p{N}]+"
 
 
 def license_texts(folder: str | Path = Path(__file__).parent / "license_texts") -> list[tuple[str, str]]:
@@ -67,6 +67,11 @@ def _words(block: Column) -> Column:
     return F.array_remove(F.split(F.lower(block), _BREAK), "")
 
 
+def _known(block: Column, vocabulary: list[str]) -> Column:
+    """The different words of the vocabulary in a block."""
+    return F.array_distinct(F.filter(F.split(F.lower(block), _BREAK), lambda w: w.isin(vocabulary)))
+
+
 def _constant(words) -> Column:
     """An array of words as one folded literal."""
     return F.split(F.lit(" ".join(words)), " ")
@@ -74,7 +79,7 @@ def _constant(words) -> Column:
 
 def block_weights(blocks: DataFrame, vocabulary: list[str]) -> tuple[dict[str, float], float]:
     """Inverse document frequency of the vocabulary over all ``block`` rows, and that of a term of one block; only these counts reach the driver."""
-    known = F.array_intersect(F.array_distinct(_words(F.col("block"))), _constant(vocabulary))
+    known = _known(F.col("block"), vocabulary)
     rows = blocks.select(F.explode(F.concat(known, F.array(F.lit("")))).alias("term")).groupBy("term").count()
     counts = dict(rows.collect())
     total = counts.pop("", 0)
@@ -112,7 +117,7 @@ def matching_blocks(docs: DataFrame, path: str, text: str, templates: list[tuple
     counts = [counts_of(t) for _, t in templates]
     weights, rare = block_weights(blocks, sorted(set().union(*counts)))
     vectors = [{w: (1 + math.log(n)) * weights[w] for w, n in c.items()} for c in counts]
-    known = F.array_intersect(F.array_distinct(_words(F.col("block"))), _constant(sorted(weights)))
+    known = _known(F.col("block"), sorted(weights))
     # one folded literal; the block's known terms are bound once, for all templates
     bounds = F.array(
         *[F.array(*[F.struct(F.lit(need).alias("need"), _constant(words).alias("words")) for need, words in term_bounds(v, least)]) for v in vectors]

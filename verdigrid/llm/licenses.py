@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,13 +26,17 @@ TEMPLATES = {
 }
 LEAST = 0.8
 _SPDX = r"SPDX-License-Identifier:[ \t]*([A-Za-z0-9.+()-]+(?:[ \t]+(?:AND|OR|WITH)[ \t]+[A-Za-z0-9.+()-]+)*)"
-_BREAK = r"[^\p{L}\p{N}.]+"
+_BREAK = r"[^a-z0-9.\p{L}\p{N}]+"
+
+
+def _words(lowered: Column) -> Column:
+    """Terms in order, with repeats and empty ones; dots inside a term stay (version numbers), those around it go."""
+    return F.transform(F.split(lowered, _BREAK), lambda w: F.trim(w, F.lit(".")))
 
 
 def terms_of(line: Column) -> Column:
-    """Different lower-case terms; dots inside a term stay (version numbers), those around it go."""
-    words = F.transform(F.split(F.lower(line), _BREAK), lambda w: F.regexp_replace(w, r"^\.+|\.+$", ""))
-    return F.array_remove(F.array_distinct(words), "")
+    """Different lower-case terms."""
+    return F.array_remove(F.array_distinct(_words(F.lower(line))), "")
 
 
 def plain_terms(line: str) -> set[str]:
@@ -38,8 +44,31 @@ def plain_terms(line: str) -> set[str]:
 
 
 def _lines(text: Column) -> Column:
-    """Terms of each line of the text."""
-    return F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), terms_of)
+    """The lines of the text in lower case."""
+    return F.split(F.lower(F.coalesce(text, F.lit(""))), "\n")
+
+
+def _known(terms: Column, vocabulary: list[str]) -> Column:
+    """The different terms of the vocabulary, in the order of the line."""
+    return F.array_distinct(F.filter(terms, lambda w: w.isin(vocabulary)))
+
+
+def marks_of(templates: dict[str, str], weights: dict[str, float], least: float) -> list[str]:
+    """Terms of which a line must have one to reach the cosine ``least`` to any template.
+
+    The cosine is at most the length of the template on the shared terms over its whole length, so a line misses at most ``1 - least^2`` of the squared
+    weights. The heaviest terms that hold more than this cannot all be missed.
+    """
+    marks = set()
+    for template in templates.values():
+        ranked = sorted(plain_terms(template), key=lambda w: (-weights[w], w))
+        missed = (1 - least * least + 1e-9) * sum(weights[w] ** 2 for w in ranked)
+        for w in ranked:
+            marks.add(w)
+            missed -= weights[w] ** 2
+            if missed < 0:
+                break
+    return sorted(marks)
 
 
 def term_weights(docs: DataFrame, text: str, templates: dict[str, str]) -> tuple[dict[str, float], float]:
@@ -48,9 +77,8 @@ def term_weights(docs: DataFrame, text: str, templates: dict[str, str]) -> tuple
     Only counts of this fixed vocabulary reach the driver.
     """
     words = sorted(set().union(*map(plain_terms, templates.values())))
-    vocabulary = F.array(*map(F.lit, words))
-    lines = docs.select(F.explode(_lines(F.col(text))).alias("terms"))
-    known = lines.select(F.explode(F.concat(F.array_intersect("terms", vocabulary), F.array(F.lit("")))).alias("term"))
+    lines = docs.select(F.explode(_lines(F.col(text))).alias("line"))
+    known = lines.select(F.explode(F.concat(_known(_words(F.col("line")), words), F.array(F.lit("")))).alias("term"))
     counts = dict(known.groupBy("term").count().collect())
     total = counts.pop("", 0)
     return {w: 1 + math.log((1 + total) / (1 + counts.get(w, 0))) for w in words}, 1 + math.log((1 + total) / 2)
@@ -60,18 +88,22 @@ def notices(docs: DataFrame, text: str = "text", templates: dict[str, str] = TEM
     """Each row of ``docs`` as struct ``row``, with ``own_license`` and ``similarity`` of the line nearest to a template.
 
     Terms count once per line (binary term frequency). A term outside the templates weighs as one seen in a single line. The vocabulary is fixed, so its
-    weights are part of the expression: nothing is exploded or shuffled. Of equal cosines the licence named first wins.
+    weights are part of the expression: nothing is exploded or shuffled. Only lines that hold a term without which no template is near enough are cut into
+    terms (``marks_of``, an exact bound). Of equal cosines the licence named first wins.
     """
     weights, rare = term_weights(docs, text, templates)
     squares = {w: v * v for w, v in weights.items()}
-    vocabulary = F.array(*map(F.lit, sorted(squares)))
+    marks = marks_of(templates, weights, least)
     square = F.create_map(*[F.lit(x) for w in sorted(squares) for x in (w, squares[w])])
 
     def total(terms: Column) -> Column:
         return F.aggregate(terms, F.lit(0.0), lambda a, t: a + F.element_at(square, t))
 
-    def best(terms: Column) -> Column:
-        known = F.array_intersect(terms, vocabulary)
+    def best(line: Column) -> Column:
+        # bound by lambdas, so that terms and known terms are found once
+        return F.transform(F.array(terms_of(line)), lambda t: F.transform(F.array(_known(t, sorted(squares))), lambda k: nearest(t, k))[0])[0]
+
+    def nearest(terms: Column, known: Column) -> Column:
         norm = F.sqrt(total(known) + (F.size(terms) - F.size(known)) * rare * rare)
         scores = []
         for name, template in templates.items():
@@ -82,7 +114,10 @@ def notices(docs: DataFrame, text: str = "text", templates: dict[str, str] = TEM
         return F.when(F.size(known) > 1, F.array_max(F.array(*[F.struct(s["similarity"].alias("similarity"), F.lit(-i).alias("order"), s["license"].alias("license")) for i, s in enumerate(scores)])))
 
     row, top = fresh(docs, "row", "top")
-    scored = docs.select(F.struct("*").alias(row), F.array_max(F.transform(_lines(F.col(text)), best)).alias(top))
+    lines = _lines(F.col(text))
+    if least > 0:
+        lines = F.filter(lines, lambda line: reduce(or_, [F.contains(line, F.lit(w)) for w in marks], F.lit(False)))
+    scored = docs.select(F.struct("*").alias(row), F.array_max(F.transform(lines, best)).alias(top))
     found = F.col(f"{top}.similarity") >= least
     return scored.select(
         F.col(row).alias("row"), F.when(found, F.col(f"{top}.license")).alias("own_license"), F.when(found, F.col(f"{top}.similarity")).alias("similarity")
