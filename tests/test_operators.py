@@ -6,6 +6,7 @@ import os
 import re
 import subprocess
 import sys
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -463,6 +464,7 @@ def test_features_that_share_an_id_lose_nothing(spark, tmp_path):
 
 PERIOD = """
 import sys
+from collections import Counter
 sys.path.insert(0, {root!r})
 from pyspark.sql import SparkSession
 from verdigrid.operators import series
@@ -495,3 +497,16 @@ def test_stored_scenes_read_only_the_days_of_the_period(spark, tmp_path):
     assert stored_scenes.scan_scenes(spark, path, satellite=1).count() == sum(r[2] == 1 for r in rows)
     with pytest.raises(ValueError):
         stored_scenes.write_scenes(df.withColumn("scene_day", F.lit(1)), path)
+
+
+def test_absent_cells_are_dealt_by_the_size_of_the_grid(spark, monkeypatch):
+    """By their bytes the runs fit one task, whatever number of cells they grow to."""
+    m = meta(300, 70)
+    rows = spark.createDataFrame([(0, 0), (5, 69), (299, 1)], "row_id int, col_id int")
+    want = {(r, c) for r in range(300) for c in range(70)} - {(0, 0), (5, 69), (299, 1)}
+    for runs in (1 << 17, 60):
+        monkeypatch.setattr("verdigrid.operators.grid.TASK_RUNS", runs)
+        found = grid.absent_cells(rows, m).withColumn("task", F.spark_partition_id()).collect()
+        assert len(found) == len(want) and {(r["row_id"], r["col_id"]) for r in found} == want
+    counts = Counter(r["task"] for r in found)
+    assert len(counts) > 5 and max(counts.values()) < len(found) / 3

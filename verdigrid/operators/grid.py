@@ -13,6 +13,8 @@ from verdigrid.meta import GridMeta
 
 #: Columns of a raster row that share a bitmap.
 RUN = 64
+#: Runs of the grid that a task expands to cells (eight million cells at most).
+TASK_RUNS = 1 << 17
 
 
 def pixel_centres(df: DataFrame, meta: GridMeta, x: str = "x", y: str = "y") -> DataFrame:
@@ -118,19 +120,26 @@ def absent_cells(rows: DataFrame, meta: GridMeta) -> DataFrame:
     """The keys of the grid's cells that have no row in ``rows``.
 
     Rows become bitmaps, one for each run of 64 columns of a raster row, combined before the exchange; only these are joined to the
-    runs of the grid, so neither cells nor bands are shuffled.
+    runs of the grid, so neither cells nor bands are shuffled. The runs with absent cells are dealt once more, to as many tasks as the size of the grid asks
+    for: by their bytes Spark would give a task hundreds of millions of cells.
     """
     runs = -(-max(meta.width, 1) // RUN)
     row, col = F.col("row_id").cast("long"), F.col("col_id").cast("long")
     inside = rows.where(row.between(0, meta.height - 1) & col.between(0, meta.width - 1))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), (col % RUN).cast("int"))
     present = inside.select((row * runs + F.expr(f"col_id div {RUN}")).alias("id"), bit.alias("bit")).groupBy("id").agg(F.bit_or("bit").alias("bits"))
-    grid = rows.sparkSession.range(meta.height * runs).join(present, "id", "left")
+    n_runs = meta.height * runs
+    tasks = -(-n_runs // TASK_RUNS)
+    spark = rows.sparkSession
+    grid = spark.range(0, n_runs, 1, max(tasks, min(spark.sparkContext.defaultParallelism, n_runs), 1)).join(present, "id", "left")
     last = meta.width - (runs - 1) * RUN
     whole = F.when(F.col("id") % runs == runs - 1, F.lit((1 << last) - 1 if last < RUN else -1)).otherwise(F.lit(-1)).cast("long")
     absent = whole.bitwiseAND(F.bitwise_not(F.coalesce("bits", F.lit(0).cast("long"))))
     places = F.filter(F.sequence(F.lit(0), F.lit(RUN - 1)), lambda i: F.getbit(F.col("absent"), i) == 1)
-    found = grid.select("id", absent.alias("absent")).where("absent <> 0").select("id", F.explode(places).alias("at"))
+    lacking = grid.select("id", absent.alias("absent")).where("absent <> 0")
+    if tasks > 1:
+        lacking = lacking.repartition(tasks, "id")
+    found = lacking.select("id", F.explode(places).alias("at"))
     return found.select(F.expr(f"cast(id div {runs} as int)").alias("row_id"), (F.col("id") % runs * RUN + F.col("at")).cast("int").alias("col_id"))
 
 
